@@ -128,9 +128,9 @@ def _corrupt_events(spark: SparkSession, folder: str) -> DataFrame:
     ip = F.regexp_extract("value", r'"ip":"10\.0\.0\.(\d+)"', 1).cast("int")
     lines = text.select(number.alias("event_id"), F.when(ip % 7 == 0, F.expr("left(value, length(value) - 3)"))
                         .otherwise(F.col("value")).alias("value"))
-    parsed = lines.select("event_id", F.from_json("value", E.event_schema(S.ONLINE_EVENT)).alias("e"))
-    return parsed.select("event_id", F.col("e.jsonData.user_id").alias("user_id"),
-                         F.col("e.jsonData").isNull().alias("corrupt"))
+    good, broken = E.split_corrupt(E.decode_events(lines, S.ONLINE_EVENT, keep_corrupt=True, also=["event_id"]))
+    return good.select("event_id", F.col("jsonData.user_id").alias("user_id"), F.lit(False).alias("corrupt")).unionByName(
+        broken.select("event_id", F.lit(None).cast("bigint").alias("user_id"), F.lit(True).alias("corrupt")))
 
 
 def _not_null_key(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,7 +8,7 @@ restatement of stored state (see ``retally.operators.aggregate``).
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 MONEY = "DECIMAL(20,4)"
 
@@ -22,8 +22,9 @@ class Measure:
     type: str = MONEY
 
     @property
-    def additive(self) -> bool:
-        return self.kind in ("total", "tally")
+    def summand(self) -> str:
+        """What a total adds up per row."""
+        return f"IF({self.where}, {self.value}, 0)" if self.where else self.value
 
 
 def total(name: str, value: str, where: str | None = None, type: str = MONEY) -> Measure:
@@ -31,9 +32,7 @@ def total(name: str, value: str, where: str | None = None, type: str = MONEY) ->
 
     Null only when every summed input is null; a null condition adds zero.
     """
-    if where is not None:
-        value = f"IF({where}, {value}, 0)"
-    return Measure(name, "total", value, None, type)
+    return Measure(name, "total", value, where, type)
 
 
 def tally(name: str, where: str, type: str = "BIGINT") -> Measure:
@@ -77,7 +76,3 @@ def fixed(name: str, literal: str, type: str) -> Measure:
 def ratio(name: str, numerator: str, denominator: str) -> Measure:
     """``-numerator / denominator`` over two finished totals: 0 when the denominator is 0."""
     return Measure(name, "ratio", numerator, denominator)
-
-
-def renamed(measure: Measure, name: str, type: str | None = None) -> Measure:
-    return replace(measure, name=name, type=type or measure.type)

@@ -1,16 +1,25 @@
 """One grouped aggregate, three executions.
 
-``summarise``  batch: group a frame of current rows.
-``deltas``     change stream: signed rows -> pre-aggregated, addable partials.
-``settle``     partials (one or many batches of them) -> finished rows.
+``summarise``         batch: group a frame of current rows.
+``summarise_signed``  batch: group the signed rows of a change stream.
+``deltas`` / ``fold`` / ``settle``
+                      change stream in pieces: signed rows -> addable partials,
+                      partials added up, partials -> finished rows.
 
 Sums and counts are added with the sign of the row.  A distinct count, a
-minimum or a maximum cannot be subtracted, so the partials carry one row per
-(group, value) with the number of references to it, and ``settle`` counts or
-compares the values still referenced.  That also is how batch distinct counts
-run: first by (group, value), then by group.  Every shuffle is on a key that
-spreads within a hot group, every shuffle is preceded by a map-side combine,
-and several conditional distinct counts of one column cost one pass.
+minimum or a maximum cannot be subtracted, so the partials hold, next to the
+sums of a group, one narrow row per (group, value) with the number of
+references to that value; finishing counts or compares the values still
+referenced.  Distinct counts run that way in batch, too.
+
+What this means for the shuffles: sums combine on the map side at the size of
+the group key and never drag the distinct values along; the rows per value
+spread a hot group over many partitions; several conditional distinct counts
+of one column share one row per value.
+
+``factors`` name the columns all conditions of an aggregate look at.  The
+partials are then grouped by them and hold one sum per summed column instead of
+one per measure: five sums where the report has seventy.
 """
 
 from __future__ import annotations
@@ -33,8 +42,8 @@ class Aggregate:
     keys: tuple[tuple[str, str], ...]       # (output column, expression)
     measures: tuple[Measure, ...]
     where: str | None = None
-    source: str | None = None               # name of the input flow, for wiring
-    nullable_key: bool = True
+    source: str | None = None               # the input flow
+    factors: tuple[str, ...] = ()
 
     @property
     def key_names(self) -> list[str]:
@@ -45,17 +54,23 @@ class Aggregate:
         return self.key_names + [m.name for m in self.measures]
 
     @cached_property
-    def distinct(self) -> list[Measure]:
-        return [m for m in self.measures if m.kind == "heads"]
+    def summed(self) -> list[str]:
+        """The columns that totals add up."""
+        return list(dict.fromkeys(m.value for m in self.measures if m.kind == "total"))
 
-    @cached_property
-    def extremes(self) -> list[Measure]:
-        return [m for m in self.measures if m.kind in ("earliest", "latest")]
+    def slotted(self, signed: bool) -> list[Measure]:
+        """Measures that need a row per value."""
+        kinds = ("heads", "earliest", "latest") if signed else ("heads",)
+        return [m for m in self.measures if m.kind in kinds]
 
     def slots(self, signed: bool) -> list[str]:
-        """Value expressions that need a row per value."""
-        slotted = self.distinct + (self.extremes if signed else [])
-        return list(dict.fromkeys(m.value for m in slotted))
+        return list(dict.fromkeys(m.value for m in self.slotted(signed)))
+
+    def partial_keys(self, signed: bool = True) -> list[str]:
+        """Columns that tell the partials of one group apart."""
+        slots = self.slots(signed)
+        names = list(self.factors) if slots or signed else []
+        return names + ([SLOT] + [f"_v{i}" for i in range(len(slots))] if slots else [])
 
 
 def by(*keys: str, **computed: str) -> tuple[tuple[str, str], ...]:
@@ -65,143 +80,152 @@ def by(*keys: str, **computed: str) -> tuple[tuple[str, str], ...]:
 
 def summarise(df: DataFrame, agg: Aggregate) -> DataFrame:
     """Batch execution over current rows."""
-    part = _partials(df, agg, signed=False)
-    return _finish(part, agg, signed=False, grouped=not agg.slots(False))
+    return _finish(_partials(df, agg, signed=False), agg, signed=False)
 
 
-def deltas(signed: DataFrame, agg: Aggregate) -> DataFrame:
-    """Addable partials of a batch of signed rows (column ``_sign`` is +1 or -1)."""
-    return _partials(signed, agg, signed=True)
+def summarise_signed(signed: DataFrame, agg: Aggregate) -> DataFrame:
+    """The aggregate of a whole change stream in one batch."""
+    part = deltas(signed, agg)
+    # rows per value are already unique here, so nothing has to be folded first
+    return _finish(part, agg, signed=True)
 
 
-def settle(parts: DataFrame, agg: Aggregate) -> DataFrame:
-    """Finished rows from partials; a group whose rows all went away is not in the result."""
-    return _finish(fold(parts, agg), agg, signed=True, grouped=False)
+def deltas(signed: DataFrame, agg: Aggregate) -> DataFrame:
+    """Addable partials of some signed rows (column ``_sign`` is +1 or -1)."""
+    return _partials(signed, agg, signed=True)
 
 
 def fold(parts: DataFrame, agg: Aggregate) -> DataFrame:
-    """Add partials up; rows that cancelled out completely are dropped."""
-    keys = agg.key_names + slot_columns(agg)
+    """Partials added up; those that cancelled out completely are dropped."""
+    keys = agg.key_names + agg.partial_keys()
     addends = [c for c in parts.columns if c not in keys]
     alive = F.lit(False)
     for c in addends:
         alive = alive | (F.col(c) != 0)
-    return parts.groupBy(*keys).agg(*[F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in addends]).where(alive)
-
-
-def summarise_signed(signed: DataFrame, agg: Aggregate) -> DataFrame:
-    """Retractable aggregate of a whole change stream in one batch."""
-    return _finish(deltas(signed, agg), agg, signed=True, grouped=not agg.slots(True))
+    added = [F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in addends]
+    return parts.groupBy(*keys).agg(*added).where(alive)
 
 
-def slot_columns(agg: Aggregate, signed: bool = True) -> list[str]:
-    slots = agg.slots(signed)
-    return ([SLOT] if len(slots) > 1 else []) + [f"_v{i}" for i in range(len(slots))]
+def settle(parts: DataFrame, agg: Aggregate) -> DataFrame:
+    """Finished rows from partials; a group whose rows all went away is not in the result."""
+    return _finish(fold(parts, agg) if agg.slots(True) else parts, agg, signed=True)
 
 
-def _either(conditions: list[str | None]) -> str | None:
+def _any_of(conditions: list[str | None]) -> str | None:
     if any(c is None for c in conditions):
         return None
-    return " OR ".join(f"({c})" for c in conditions)
+    return " OR ".join(f"({c})" for c in dict.fromkeys(conditions))
 
 
 def _partials(df: DataFrame, agg: Aggregate, signed: bool) -> DataFrame:
     if agg.where:
         df = df.where(agg.where)
-    slots = agg.slots(signed)
-    slotted = agg.distinct + (agg.extremes if signed else [])
-
-    # the key aliases may shadow an input column of another meaning, so computed
-    # keys and slot values are added under private names until the grouping
+    slots, slotted = agg.slots(signed), agg.slotted(signed)
     keys = [F.expr(e).alias(n) for n, e in agg.keys]
-    values = []
-    for i, value in enumerate(slots):
-        cond = _either([m.where for m in slotted if m.value == value])
-        values.append(F.expr(f"CASE WHEN {cond} THEN {value} END" if cond else value))
-
-    slot_keys: list[Column] = []
-    first = F.lit(True)
-    if len(slots) == 1:
-        slot_keys = [values[0].alias("_v0")]
-    elif slots:
+    factored = [f for f in agg.factors if f in agg.partial_keys(signed)]
+
+    main = None                                     # true on the rows that carry the sums
+    if slots:
+        values = []
+        for value in slots:
+            cond = _any_of([m.where for m in slotted if m.value == value])
+            values.append(F.expr(f"CASE WHEN {cond} THEN {value} END" if cond else value))
         types = [f.dataType for f in df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)]).schema]
-        rows = []
-        for k in range(len(slots)):
-            cells = [values[i] if i == k else F.lit(None).cast(types[i]) for i in range(len(slots))]
-            rows.append(F.struct(F.lit(k).alias("slot"), *[c.alias(f"v{i}") for i, c in enumerate(cells)]))
-        spread = F.array(*rows)
-        df = df.withColumn("_s", F.explode(spread))
-        # a row is only needed in a later slot when it has a value there
-        some = F.col("_s.slot") == 0
-        for k in range(1, len(slots)):
-            some = some | F.col(f"_s.v{k}").isNotNull()
-        df = df.where(some)
-        slot_keys = [F.col("_s.slot").alias(SLOT)] + [F.col(f"_s.v{i}").alias(f"_v{i}") for i in range(len(slots))]
-        first = F.col("_s.slot") == 0
-
-    sign = F.col(SIGN) if signed else F.lit(1)
-    many = len(slots) > 1
-
-    def count_where(cond: Column) -> Column:
-        return F.sum(F.when(cond, sign.cast("bigint")).otherwise(F.lit(0).cast("bigint"))) if signed else F.count_if(cond)
 
-    out: list[Column] = []
-    for m in agg.measures:
-        if m.kind == "total":
-            x = F.expr(m.value)
-            x = F.when(first, x) if many else x
-            if signed:
-                out.append(F.coalesce(F.sum(F.when(sign > 0, x).otherwise(-x)), F.lit(0)).alias(f"p_{m.name}"))
-                out.append(count_where(x.isNotNull()).alias(f"n_{m.name}"))
-            else:
-                out.append(F.sum(x).alias(f"p_{m.name}"))
-        elif m.kind == "tally":
-            c = F.expr(m.where)
-            out.append(count_where(first & c if many else c).alias(f"p_{m.name}"))
-        elif m.kind == "heads" or (signed and m in agg.extremes):
-            k = slots.index(m.value)
-            c = F.col(f"_s.v{k}").isNotNull() if many else values[0].isNotNull()
-            if m.where:
-                c = c & F.expr(m.where)
-            out.append(count_where(c).alias(f"r_{m.name}"))
-        elif m.kind == "earliest":
-            out.append(F.min(F.expr(m.value)).alias(f"p_{m.name}"))
-        elif m.kind == "latest":
-            out.append(F.max(F.expr(m.value)).alias(f"p_{m.name}"))
-    if signed:
-        out.append((F.sum(F.when(first, sign.cast("bigint")).otherwise(F.lit(0))) if many
-                    else F.sum(sign.cast("bigint"))).alias(ROWS))
-    elif not out:
-        out.append(F.count(F.lit(1)).alias(ROWS))
-    return df.groupBy(*keys, *slot_keys).agg(*out)
+        def row(k: int) -> Column:
+            cells = [values[i] if i + 1 == k else F.lit(None).cast(types[i]) for i in range(len(slots))]
+            return F.struct(F.lit(k).alias("slot"), *[c.alias(f"v{i}") for i, c in enumerate(cells)])
+
+        df = df.withColumn("_s", F.explode(F.array(*[row(k) for k in range(len(slots) + 1)])))
+        main = F.col("_s.slot") == 0
+        used = main
+        for i in range(len(slots)):
+            used = used | F.col(f"_s.v{i}").isNotNull()
+        df = df.where(used)
+        keys += [(F.when(main, F.col(f))).alias(f) for f in factored]
+        keys += [F.col("_s.slot").alias(SLOT)] + [F.col(f"_s.v{i}").alias(f"_v{i}") for i in range(len(slots))]
+    else:
+        keys += [F.col(f) for f in factored]
+
+    one = F.col(SIGN).cast("bigint") if signed else F.lit(1).cast("bigint")
 
+    def count(cond: Column | None) -> Column:
+        if cond is None and signed:
+            return F.sum(one)
+        if cond is None:
+            return F.count(F.lit(1))
+        return F.sum(F.when(cond, one).otherwise(F.lit(0).cast("bigint"))) if signed else F.count_if(cond)
 
-def _finish(part: DataFrame, agg: Aggregate, signed: bool, grouped: bool) -> DataFrame:
-    """Second level of the aggregation; only a projection when ``grouped`` already."""
-    slots = agg.slots(signed)
-    add = (lambda c: F.col(c)) if grouped else (lambda c: F.sum(c))
+    def on_main(cond: Column | None) -> Column | None:
+        return cond if main is None else (main if cond is None else main & cond)
+
+    def add(x: Column, name: str) -> list[Column]:
+        """Sum of x, and for signed rows the number of non-null summands behind it."""
+        x = x if main is None else F.when(main, x)
+        if not signed:
+            return [F.sum(x).alias(f"p_{name}")]
+        return [F.coalesce(F.sum(F.when(one > 0, x).otherwise(-x)), F.lit(0)).alias(f"p_{name}"),
+                count(x.isNotNull()).alias(f"n_{name}")]
+
+    out: list[Column] = []
+    if factored:
+        for i, x in enumerate(agg.summed):
+            out += add(F.expr(x), f"sum{i}")
+    for m in agg.measures:
+        if m in slotted:
+            cond = F.col(f"_s.v{slots.index(m.value)}").isNotNull()
+            out.append(count(cond & F.expr(m.where) if m.where else cond).alias(f"r_{m.name}"))
+        elif m.kind == "total" and not factored:
+            out += add(F.expr(m.summand), m.name)
+        elif m.kind == "tally" and not factored:
+            out.append(count(on_main(F.expr(m.where))).alias(f"p_{m.name}"))
+        elif m.kind in ("earliest", "latest"):
+            pick = F.min if m.kind == "earliest" else F.max
+            out.append(pick(F.expr(m.value)).alias(f"p_{m.name}"))
+    if signed or factored or not out:
+        out.append(count(on_main(None)).alias(ROWS))
+    return df.groupBy(*keys).agg(*out)
+
+
+def _finish(part: DataFrame, agg: Aggregate, signed: bool) -> DataFrame:
+    slots, slotted = agg.slots(signed), agg.slotted(signed)
+    factored = bool(agg.factors) and set(agg.factors) <= set(agg.partial_keys(signed))
+    # plain batch aggregates are grouped already and only need their last projection
+    grouped = not slots and not signed
+    add = F.col if grouped else F.sum
     done: list[Column] = []
     for m in agg.measures:
-        if m.kind == "total":
-            value = add(f"p_{m.name}")
-            done.append((F.when(add(f"n_{m.name}") > 0, value) if signed else value).alias(m.name))
+        if m in slotted:
+            alive = F.col(f"r_{m.name}") > 0
+            value = F.col(f"_v{slots.index(m.value)}")
+            done.append({"heads": F.count_if(alive), "earliest": F.min(F.when(alive, value)),
+                         "latest": F.max(F.when(alive, value))}[m.kind].alias(m.name))
+        elif m.kind == "total" and factored:
+            i = agg.summed.index(m.value)
+            amount, behind = F.col(f"p_sum{i}"), F.col(f"n_sum{i}")
+            if m.where:
+                amount = F.when(F.expr(m.where), amount).otherwise(F.lit(0))
+                behind = F.when(F.expr(m.where), behind).otherwise(F.col(ROWS))
+            # rows per value have no sums; they must not turn a null total into zero
+            amount = F.when(F.col(SLOT) == 0, amount) if slots else amount
+            total = F.sum(amount)
+            done.append((F.when(F.sum(behind) > 0, total) if signed else total).alias(m.name))
+        elif m.kind == "total":
+            total = add(f"p_{m.name}")
+            done.append((F.when(add(f"n_{m.name}") > 0, total) if signed else total).alias(m.name))
+        elif m.kind == "tally" and factored:
+            done.append(F.sum(F.when(F.expr(m.where), F.col(ROWS)).otherwise(F.lit(0))).alias(m.name))
         elif m.kind == "tally":
             done.append(add(f"p_{m.name}").alias(m.name))
-        elif m.kind == "heads":
-            done.append(F.count_if(F.col(f"r_{m.name}") > 0).alias(m.name))
-        elif m in agg.extremes:
-            pick = F.min if m.kind == "earliest" else F.max
-            if signed:
-                k = slots.index(m.value)
-                done.append(pick(F.when(F.col(f"r_{m.name}") > 0, F.col(f"_v{k}"))).alias(m.name))
-            else:
-                done.append((F.col(f"p_{m.name}") if grouped else pick(f"p_{m.name}")).alias(m.name))
+        elif m.kind in ("earliest", "latest"):
+            pick = F.col if grouped else (F.min if m.kind == "earliest" else F.max)
+            done.append(pick(f"p_{m.name}").alias(m.name))
     if signed:
-        done.append(add(ROWS).alias(ROWS))
+        done.append(F.sum(ROWS).alias(ROWS))
     if grouped:
         result = part.select(*agg.key_names, *done)
     else:
-        result = part.groupBy(*agg.key_names).agg(*done) if done else part.select(*agg.key_names).distinct()
+        result = part.groupBy(*agg.key_names).agg(*done)
     if signed:
         result = result.where(F.col(ROWS) > 0)
     return _typed(result, agg)

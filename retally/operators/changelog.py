@@ -29,11 +29,10 @@ def signed_rows(changes: DataFrame) -> DataFrame:
 
     went = image("before", -1, F.when(op == "d", F.lit("-D")).otherwise(F.lit("-U")))
     came = image("after", 1, F.when(op == "u", F.lit("+U")).otherwise(F.lit("+I")))
-    nothing = F.when(op.isin("u", "d"), went), F.when(op.isin("c", "r", "u"), came)
+    images = F.array(F.when(op.isin("u", "d"), went), F.when(op.isin("c", "r", "u"), came))
     order = F.struct(*[F.col(c) for c in ORDER if c in changes.columns]) if set(ORDER) & set(changes.columns) else None
-    rows = changes.select(
-        F.explode(F.filter(F.array(*nothing), lambda i: i.isNotNull() & i["row"].isNotNull())).alias("i"),
-        *([order.alias("_order")] if order is not None else []))
+    rows = changes.select(F.explode(images).alias("i"), *([order.alias("_order")] if order is not None else []))
+    rows = rows.where(F.col("i.row").isNotNull())
     return rows.select("i.row.*", f"i.{SIGN}", "i.row_kind", *(["_order"] if order is not None else []))
 
 

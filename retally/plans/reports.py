@@ -113,7 +113,7 @@ USER_ADJUST_DAY = Aggregate(
     source="amount_operations")
 CHANNEL_ADJUST_DAY = Aggregate(
     "today_channel_custom_amount_statistic", by("channel_id", DAY),
-    (heads("user_count", "user_id"),) + ADJUST_MEASURES, source="amount_operations")
+    (heads("user_count", "user_id"),) + ADJUST_MEASURES, source="amount_operations", factors=("type", "amount_type"))
 
 
 # --- recharges ---------------------------------------------------------------
@@ -155,12 +155,13 @@ CHANNEL_RECHARGE_DAY = Aggregate(
         *_UNPAID,
         tally("recharge_success_order_count", _PAID, "INT"),
         *_RECHARGE_FEES,
-    ), source="recharges")
+    ), source="recharges", factors=("order_status", "pay_status", "first_recharge"))
 
 
 # --- rewards -----------------------------------------------------------------
 
 _TYPES = {"withdrawal": "WITHDRAW", "deposit": "DEPOSIT", "bonus": "BONUS"}
+_REWARD_FACTORS = ("reward_scope", "reward_type", "draw_flag")
 _DRAWN = {"draw": "draw_flag = 1", "no_draw": "draw_flag = 0"}
 _TRIPLE = ("activity_type", "user_id", "unique_id")
 
@@ -202,13 +203,13 @@ USER_REWARD_DAY = Aggregate(
     "today_user_reward_statistics_dws",
     by(DAY, "user_id", "channel_id", activity_type="COALESCE(activity_type, '')"),
     tuple(m for word, prefix in REWARD_SCOPES.items() for m in _scope_measures(word, prefix, True)),
-    source="rewards")
+    source="rewards", factors=_REWARD_FACTORS)
 
 CHANNEL_REWARD_DAY = Aggregate(
     "today_channel_reward_statistic", by(DAY, "channel_id"),
     (heads("user_count", "user_id"),
      *[m for word, prefix in REWARD_SCOPES.items() for m in _scope_measures(word, prefix, False)]),
-    source="rewards")
+    source="rewards", factors=_REWARD_FACTORS)
 
 CHANNEL_ACTIVITY_DAY = Aggregate(
     "today_channel_activity_statistic", by(DAY, "channel_id", "activity_type"), (
@@ -219,13 +220,14 @@ CHANNEL_ACTIVITY_DAY = Aggregate(
         heads("activity_user_count", "user_id"),
         *[heads_of(f"activity_{d}_count", _TRIPLE, c) for d, c in _DRAWN.items()],
         *_reward_amounts("activity", None),
-    ), where="activity_type IS NOT NULL AND reward_scope = 'ACTIVITY_REWARD'", source="rewards")
+    ), where="activity_type IS NOT NULL AND reward_scope = 'ACTIVITY_REWARD'", source="rewards",
+    factors=("reward_type", "draw_flag"))
 
 _TASK = "reward_scope = 'BONUS_TASK'"
 REWARD_TOTALS: tuple[Measure, ...] = (
     # of a drawn bonus task only the withdrawable kind counts towards the total
-    total("total_reward_amount", f"IF({_TASK}, IF(reward_type = 'WITHDRAW', bonus_amount, 0), bonus_amount)",
-          _DRAWN["draw"]),
+    total("total_reward_amount", "bonus_amount",
+          f"{_DRAWN['draw']} AND (NOT ({_TASK}) OR reward_type = 'WITHDRAW')"),
     tally("total_reward_count", _DRAWN["draw"], "INT"),
     *[m for t, w in _TYPES.items() for m in (
         total(f"total_reward_{t}_amount", "bonus_amount", f"reward_type = '{w}' AND draw_flag = 1"),
@@ -234,8 +236,10 @@ REWARD_TOTALS: tuple[Measure, ...] = (
         total(f"total_reward_{label}_amount", "bonus_amount", f"{_TASK} AND {_DRAWN[d]}"),
         tally(f"total_reward_{label}_count", f"{_TASK} AND {_DRAWN[d]}", "INT"))],
 )
-REWARD_DAY = Aggregate("today_user_reward_statistic", by(DAY, "user_id", "channel_id"), REWARD_TOTALS, source="rewards")
-REWARD_TOTAL = Aggregate("user_reward_statistic", by("user_id", "channel_id"), REWARD_TOTALS, source="rewards")
+REWARD_DAY = Aggregate("today_user_reward_statistic", by(DAY, "user_id", "channel_id"), REWARD_TOTALS, source="rewards",
+                       factors=_REWARD_FACTORS)
+REWARD_TOTAL = Aggregate("user_reward_statistic", by("user_id", "channel_id"), REWARD_TOTALS, source="rewards",
+                         factors=_REWARD_FACTORS)
 
 
 # --- agents ------------------------------------------------------------------
@@ -298,7 +302,7 @@ CHANNEL_WITHDRAW_DAY = Aggregate(
         heads("completed_order_count", "order_no", _DONE, "INT"),
         # counts every user with a completed order; the first-withdrawal flag plays no part
         heads("first_user_count", "user_id", _DONE, "INT"),
-    ), source="withdrawals")
+    ), source="withdrawals", factors=("order_status",))
 
 # over the orders joined with their payment tries (retally.operators.joins.orders_with_payments);
 # an order's own amount repeats for each of its payment rows

@@ -31,6 +31,11 @@ class Table:
         parts.append(self.ddl[start:])
         return tuple(tuple(p.split(None, 1)) for p in (q.strip() for q in parts))
 
+    def only(self, names: list[str]) -> Table:
+        """The table cut down to some columns, so that text is parsed for those alone."""
+        kept = [f"{n} {t}" for n, t in self.columns if n in names]
+        return Table(self.name, tuple(k for k in self.key if k in names), ", ".join(kept))
+
     @property
     def names(self) -> list[str]:
         return [n for n, _ in self.columns]

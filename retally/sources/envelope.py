@@ -13,6 +13,8 @@ former aside.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from retally.schemas import Table
@@ -32,31 +34,43 @@ def event_schema(table: Table) -> T.StructType:
             .add("jsonData", table.struct))
 
 
-def decode_changes(lines: DataFrame, table: Table, column: str = "value", keep_corrupt: bool = False) -> DataFrame:
+def _parse(lines: DataFrame, column: str, schema: T.StructType, also: Sequence[str] = ()) -> DataFrame:
+    """Text column -> struct ``e``, parsed once per line.
+
+    The parse sits inside an explode of one element: a filter on the parsed
+    fields is not pushed below it, where it would parse every line again.
+    """
+    return lines.select(F.explode(F.array(F.from_json(column, schema))).alias("e"), F.col(column).alias("_text"), *also)
+
+
+def decode_changes(lines: DataFrame, table: Table, column: str = "value", keep_corrupt: bool = False,
+                   also: Sequence[str] = ()) -> DataFrame:
     """Change text -> (before, after, op, ts_ms, pos).
 
     Lines without a known op (broken text) are left out, or kept with the text
-    in ``_corrupt`` when ``keep_corrupt`` is set.
+    in ``_corrupt`` when ``keep_corrupt`` is set.  Columns named in ``also``
+    (a topic's partition and offset, say) stay.
     """
-    parsed = lines.select(F.from_json(column, change_schema(table)).alias("e"), F.col(column).alias("_text"))
+    parsed = _parse(lines, column, change_schema(table), also)
     known = F.coalesce(F.col("e.op").isin(*OPS), F.lit(False))
     out = parsed.select("e.before", "e.after", "e.op", "e.ts_ms", F.col("e.source.pos").alias("pos"),
-                        F.when(~known, F.col("_text")).alias("_corrupt"))
+                        F.when(~known, F.col("_text")).alias("_corrupt"), *also)
     return out if keep_corrupt else out.where(F.col("op").isin(*OPS)).drop("_corrupt")
 
 
-def decode_events(lines: DataFrame, table: Table, column: str = "value", keep_corrupt: bool = False) -> DataFrame:
+def decode_events(lines: DataFrame, table: Table, column: str = "value", keep_corrupt: bool = False,
+                  also: Sequence[str] = ()) -> DataFrame:
     """Event text -> (key, dataSyncType, jsonData); broken text is left out or kept in ``_corrupt``."""
-    parsed = lines.select(F.from_json(column, event_schema(table)).alias("e"), F.col(column).alias("_text"))
+    parsed = _parse(lines, column, event_schema(table), also)
     out = parsed.select("e.key", "e.dataSyncType", "e.jsonData",
-                        F.when(F.col("e.jsonData").isNull(), F.col("_text")).alias("_corrupt"))
+                        F.when(F.col("e.jsonData").isNull(), F.col("_text")).alias("_corrupt"), *also)
     return out if keep_corrupt else out.where(F.col("jsonData").isNotNull()).drop("_corrupt")
 
 
 def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, side output with the broken text) of a decode with ``keep_corrupt``."""
     return decoded.where(F.col("_corrupt").isNull()).drop("_corrupt"), \
-        decoded.where(F.col("_corrupt").isNotNull()).select("_corrupt")
+        decoded.where(F.col("_corrupt").isNotNull())
 
 
 def of_table(lines: DataFrame, name: str, column: str = "value") -> DataFrame:

@@ -313,6 +313,11 @@ def bounty(daily: bool) -> str:
                  by=(["CAST(update_time AS DATE)"] if daily else []) + ["user_id", "channel_id"])
 
 
+def _window(event_type: str, unit: str) -> str:
+    return (f"SELECT date_trunc('{unit}', ts) AS window_start, date_trunc('{unit}', ts) + INTERVAL '1' {unit} AS window_end,"
+            f" COUNT(*) AS rows_in_window FROM events WHERE event_type = '{event_type}' GROUP BY 1, 2")
+
+
 # --- assembly --------------------------------------------------------------------
 
 def _feed(story: str, columns: list[str], drop_deletes: bool) -> str:
@@ -417,6 +422,14 @@ def build() -> dict[str, str]:
         "retract_withdraw_finance": with_(
             finance("clean", "payments"), **now("withdraw_order"), clean=clean_withdraw("current"),
             payments=ST["payment_order"].current_sql()),
+        "ads_user_game_total_of_games": with_(player("daily", False), **daily),
+        "stream_channel_game": with_(channel_game("clean"), **game_now),
+        "stream_user_game_total": with_(player("daily", False), **game_now, daily=user_game_day("clean")),
+        "stream_running_total": with_(player("daily", False), **game_now, daily=user_game_day("clean")),
+        "stream_channel_distinct": with_(
+            "SELECT statistic_time, channel_id, COUNT(DISTINCT user_id) AS user_count FROM clean GROUP BY 1, 2", **game_now),
+        "stream_mirror": with_("SELECT * FROM current", **now("device_users")),
+        "window_login_1m": _window("signup", "minute"), "window_order_1h": _window("purchase", "hour"),
         "corrupt_events": with_(
             "SELECT event_id, CASE WHEN k % 7 = 0 THEN NULL ELSE user_id END AS user_id, k % 7 = 0 AS corrupt FROM e",
             e="SELECT event_id, user_id, {K} AS k FROM events"),

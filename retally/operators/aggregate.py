@@ -111,6 +111,21 @@ def settle(parts: DataFrame, agg: Aggregate) -> DataFrame:
     return _finish(fold(parts, agg) if agg.slots(True) else parts, agg, signed=True)
 
 
+def finished_deltas(parts: DataFrame, agg: Aggregate) -> DataFrame:
+    """Partials that are whole groups already (a running aggregate) as finished rows.
+
+    ``op`` is ``d`` where a group has no rows left, else ``u``.
+    """
+    done = []
+    for m in agg.measures:
+        if m.kind == "total":
+            done.append(F.when(F.col(f"n_{m.name}") > 0, F.col(f"p_{m.name}")).alias(m.name))
+        elif m.kind == "tally":
+            done.append(F.col(f"p_{m.name}").alias(m.name))
+    op = F.when(F.col(ROWS) > 0, "u").otherwise("d").alias("op")
+    return _typed(parts.select(*agg.key_names, *done, op), agg, keep=("op",))
+
+
 def _any_of(conditions: list[str | None]) -> str | None:
     if any(c is None for c in conditions):
         return None
@@ -231,7 +246,7 @@ def _finish(part: DataFrame, agg: Aggregate, signed: bool) -> DataFrame:
     return _typed(result, agg)
 
 
-def _typed(result: DataFrame, agg: Aggregate) -> DataFrame:
+def _typed(result: DataFrame, agg: Aggregate, keep: tuple[str, ...] = ()) -> DataFrame:
     """Cast to the declared types and add constants and ratios."""
     by_name = {m.name: m for m in agg.measures}
 
@@ -243,4 +258,4 @@ def _typed(result: DataFrame, agg: Aggregate) -> DataFrame:
             return F.when(bottom == 0, F.lit(0)).otherwise(-top / bottom).cast(m.type)
         return F.col(m.name).cast(m.type)
 
-    return result.select(*agg.key_names, *[finished(m).alias(m.name) for m in agg.measures])
+    return result.select(*agg.key_names, *[finished(m).alias(m.name) for m in agg.measures], *keep)

@@ -48,15 +48,16 @@ def changed_keys(changes: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def last_changes(changes: DataFrame, key: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
-    """The last change of every key: (key..., image, gone); image is null when the row is gone.
+    """The last change of every key: (key..., image, gone, at); image is null when the row is gone.
 
     The largest position wins, not the last to arrive.  ``max_by`` combines on
     the map side, so a key with very many versions does not gather in one task.
     """
     names = [f"_k_{k}" for k in key]
-    last = F.max_by(F.when(F.col("op") != "d", F.col("after")), F.struct(*order))
-    return (changed_keys(changes, key).groupBy(*names).agg(last.alias("image"))
-            .select(*[F.col(n).alias(k) for n, k in zip(names, key)], "image", F.col("image").isNull().alias("gone")))
+    at = F.struct(*order)
+    last = F.max_by(F.when(F.col("op") != "d", F.col("after")), at)
+    return (changed_keys(changes, key).groupBy(*names).agg(last.alias("image"), F.max(at).alias("at"))
+            .select(*[F.col(n).alias(k) for n, k in zip(names, key)], "image", F.col("image").isNull().alias("gone"), "at"))
 
 
 def current_rows(changes: DataFrame, key: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:

@@ -6,6 +6,8 @@ are generated from the rules that shape them.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from retally.functions.measures import (
     MONEY, Measure, earliest, filled, fixed, heads, heads_of, latest, ratio, tally, total)
 from retally.operators.aggregate import Aggregate, by
@@ -57,10 +59,10 @@ CHANNEL_GAME_DAY = Aggregate(
     "today_channel_game_record_statistic", by(DAY, "channel_id"),
     _PLAYERS + GAME_MEASURES, source="games")
 
-# (reported name, column of the daily user table, type)
+# (reported name, measure of the daily user table, type)
 _PLAYER_TOTALS = (
     ("effective_bet_amount", "effective_bet_amount", MONEY),
-    ("effective_bet_count", "CAST(effective_bet_count AS INT)", "INT"),
+    ("effective_bet_count", "effective_bet_count", "INT"),
     ("effective_bet_deposit_amount", "effective_bet_deposit_amount", MONEY),
     ("effective_bet_withdrawal_amount", "effective_bet_withdrawal_amount", MONEY),
     ("effective_bet_bonus_amount", "effective_bet_bonus_amount", MONEY),
@@ -70,26 +72,43 @@ _PLAYER_TOTALS = (
     ("win_loss_bonus_amount", "win_lose_bonus_amount", MONEY),
     ("settle_bet_amount", "settle_bet_amount", MONEY),
     ("bet_amount", "bet_amount", MONEY),
-    ("bet_count", "CAST(bet_count AS INT)", "INT"),
+    ("bet_count", "bet_count", "INT"),
     ("bet_deposit_amount", "bet_deposit_amount", MONEY),
     ("bet_withdrawal_amount", "bet_withdrawal_amount", MONEY),
     ("bet_bonus_amount", "bet_bonus_amount", MONEY),
     ("settle_amount", "settle_amount", MONEY),
-    ("settle_count", "CAST(settle_count AS DECIMAL(20,4))", MONEY),
+    ("settle_count", "settle_count", MONEY),
     ("settle_deposit_amount", "settle_deposit_amount", MONEY),
     ("settle_withdrawal_amount", "settle_withdrawal_amount", MONEY),
     ("settle_bonus_amount", "settle_bonus_amount", MONEY),
 )
-PLAYER_MEASURES: tuple[Measure, ...] = (
-    *[total(f"total_{n}", x, type=t) for n, x, t in _PLAYER_TOTALS[:2]],
-    *[total(f"third_party_total_{n}", x, type=t) for n, x, t in _PLAYER_TOTALS],
-    ratio("third_party_total_kill_rate", "third_party_total_win_loss_amount",
-          "third_party_total_settle_bet_amount"),
-)
+
+
+def _player(measure) -> tuple[Measure, ...]:
+    """The player totals, each made by ``measure(name, daily measure, type)``."""
+    return (
+        *[measure(f"total_{n}", m, t) for n, m, t in _PLAYER_TOTALS[:2]],
+        *[measure(f"third_party_total_{n}", m, t) for n, m, t in _PLAYER_TOTALS],
+        ratio("third_party_total_kill_rate", "third_party_total_win_loss_amount",
+              "third_party_total_settle_bet_amount"))
+
+
+def _from_daily(name: str, column: str, type: str) -> Measure:
+    counted = column.endswith("_count")
+    return total(name, f"CAST({column} AS {type})" if counted else column, type=type)
+
+
+def _from_games(name: str, column: str, type: str) -> Measure:
+    return replace(next(m for m in GAME_MEASURES if m.name == column), name=name, type=type)
+
+
 PLAYER_DAY = Aggregate("today_user_game_statistic", by(DAY, "user_id", "channel_id"),
-                       PLAYER_MEASURES, source=USER_GAME_DAY.name)
+                       _player(_from_daily), source=USER_GAME_DAY.name)
 PLAYER_TOTAL = Aggregate("user_game_statistic", by("user_id", "channel_id"),
-                         PLAYER_MEASURES, source=USER_GAME_DAY.name)
+                         _player(_from_daily), source=USER_GAME_DAY.name)
+# the same two straight from the games: sums of sums are sums
+PLAYER_DAY_OF_GAMES = replace(PLAYER_DAY, measures=_player(_from_games), source="games")
+PLAYER_TOTAL_OF_GAMES = replace(PLAYER_TOTAL, measures=_player(_from_games), source="games")
 
 
 # --- manual adjustments ------------------------------------------------------

@@ -430,6 +430,9 @@ def build() -> dict[str, str]:
             "SELECT statistic_time, channel_id, COUNT(DISTINCT user_id) AS user_count FROM clean GROUP BY 1, 2", **game_now),
         "stream_mirror": with_("SELECT * FROM current", **now("device_users")),
         "window_login_1m": _window("signup", "minute"), "window_order_1h": _window("purchase", "hour"),
+        "stream_withdraw_finance": with_(
+            finance("clean", "payments"), **now("withdraw_order"), clean=clean_withdraw("current"),
+            payments=ST["payment_order"].current_sql()),
         "corrupt_events": with_(
             "SELECT event_id, CASE WHEN k % 7 = 0 THEN NULL ELSE user_id END AS user_id, k % 7 = 0 AS corrupt FROM e",
             e="SELECT event_id, user_id, {K} AS k FROM events"),

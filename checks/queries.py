@@ -19,7 +19,7 @@ from retally.sinks.batch_log import workspace
 from retally.sinks.keyed_table import KeyedTable
 from retally.sources import envelope as E
 from retally.streaming import native, pipeline
-from retally.streaming.restate import Restatement
+from retally.streaming.restate import OrderPayments, Restatement
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,11 +31,11 @@ def _events(spark: SparkSession, folder: str, name: str, table: S.Table, key: st
     return E.decode_events(E.encode_events(D.rows(spark, folder, name), key), table)
 
 
-def _signed(spark: SparkSession, folder: str, story: str) -> DataFrame:
-    """Signed rows of a captured table, through its change text."""
+def _signed(spark: SparkSession, folder: str, story: str, columns: list[str] | None = None) -> DataFrame:
+    """Signed rows of a captured table (all columns or some), through its change text."""
     table = D.STORIES[story].table
     text = E.encode_changes(D.story_changes(spark, folder, story), table, replace_updates=False)
-    return C.signed_rows(E.decode_changes(text, table))
+    return C.signed_rows(E.decode_changes(text, table.only(columns) if columns else table))
 
 
 CLEAN: dict[str, Query] = {
@@ -60,8 +60,9 @@ def _feed(story: str, flow: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda s, f: flow(_signed(s, f, story)).drop("_sign", "_order")
 
 
-def _retract(story: str, clean: Callable[[DataFrame], DataFrame], agg: Aggregate) -> Query:
-    return lambda s, f: summarise_signed(clean(_signed(s, f, story)), agg)
+def _retract(story: str, clean: Callable[[DataFrame], DataFrame], agg: Aggregate,
+             columns: list[str] | None = None) -> Query:
+    return lambda s, f: summarise_signed(clean(_signed(s, f, story, columns)), agg)
 
 
 # --- change streams --------------------------------------------------------------
@@ -112,8 +113,8 @@ def _latest_version(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _retract_finance(spark: SparkSession, folder: str) -> DataFrame:
-    orders = P.clean_withdrawals(_signed(spark, folder, "withdraw_order"))
-    payments = _signed(spark, folder, "payment_order")
+    orders = P.clean_withdrawals(_signed(spark, folder, "withdraw_order", P.WITHDRAWAL_COLUMNS))
+    payments = _signed(spark, folder, "payment_order", joins.PAYMENT_COLUMNS)
     return summarise_signed(joins.orders_with_payments(orders, payments), R.WITHDRAW_FINANCE_DAY)
 
 
@@ -186,6 +187,36 @@ def _stream_mirror(spark: SparkSession, folder: str) -> DataFrame:
     return table.current()
 
 
+def _order_stream(spark: SparkSession, folder: str, story: str) -> DataFrame:
+    schema = spark.read.parquet(f"{folder}/orders.parquet").schema
+    orders = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(folder)
+    customers = spark.read.parquet(f"{folder}/customer.parquet")
+    return D.STORIES[story].changes(orders.join(customers, F.col("o_custkey") == F.col("c_custkey")))
+
+
+def _stream_finance(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders and payment tries in one stream, joined change by change."""
+    home = workspace(spark, f"retally-{uuid.uuid4().hex}")
+    lines = None
+    for story in ("withdraw_order", "payment_order"):
+        text = E.encode_changes(_order_stream(spark, folder, story), D.STORIES[story].table)
+        lines = text if lines is None else lines.unionByName(text)
+    orders, payments = S.WITHDRAW_ORDER.only(P.WITHDRAWAL_COLUMNS), S.PAYMENT_ORDER.only(joins.PAYMENT_COLUMNS)
+    flows = {"withdrawals": (orders, P.clean_withdrawals), "payments": (payments, lambda df: df)}
+    shape = {n: clean(spark.createDataFrame([], t.struct)) for n, (t, clean) in flows.items()}
+    pairs = OrderPayments(spark, f"{home}/state", shape["withdrawals"], shape["payments"])
+    joined = joins.orders_with_payments(shape["withdrawals"], shape["payments"])
+    state = Restatement(spark, f"{home}/state", [R.WITHDRAW_FINANCE_DAY], {R.WITHDRAW_FINANCE_DAY.source: joined})
+
+    def each(batch: DataFrame, number: int) -> None:
+        part = pipeline.flows_of(batch, flows)
+        state.process(number, {R.WITHDRAW_FINANCE_DAY.source: pairs.restate(number, part["withdrawals"], part["payments"])})
+        pairs.tidy(number)
+
+    _finish(pipeline.run(lines, each, f"{home}/checkpoint"))
+    return state.current(R.WITHDRAW_FINANCE_DAY.name)
+
+
 def _windows(event_type: str, width: str) -> Query:
     return lambda s, f: native.per_window(
         s.read.parquet(f"{f}/events.parquet").where(F.col("event_type") == event_type), "ts", width)
@@ -259,14 +290,16 @@ def build() -> dict[str, Query]:
         "latest_image": _latest_image, "latest_version": _latest_version,
         "retract_user_game_day": _retract("game_record", P.clean_games, R.USER_GAME_DAY),
         "retract_channel_game": _retract("game_record", P.clean_games, R.CHANNEL_GAME_DAY),
-        "retract_user_adjust": _retract("amount_operation", P.clean_amount_operations, R.USER_ADJUST_DAY),
-        "retract_user_withdraw": _retract("withdraw_order", P.clean_withdrawals, R.USER_WITHDRAW_DAY),
+        "retract_user_adjust": _retract("amount_operation", P.clean_amount_operations, R.USER_ADJUST_DAY,
+                                        P.AMOUNT_OPERATION_FEED),
+        "retract_user_withdraw": _retract("withdraw_order", P.clean_withdrawals, R.USER_WITHDRAW_DAY,
+                                          P.WITHDRAWAL_COLUMNS),
         "retract_withdraw_finance": _retract_finance,
         "ads_user_game_total_of_games": _report(R.PLAYER_TOTAL_OF_GAMES),
         "stream_channel_game": _restated(R.CHANNEL_GAME_DAY, R.CHANNEL_GAME_DAY),
         "stream_user_game_total": _restated(R.PLAYER_TOTAL, R.USER_GAME_DAY, R.PLAYER_TOTAL),
         "stream_running_total": _stream_running, "stream_channel_distinct": _stream_distinct,
-        "stream_mirror": _stream_mirror,
+        "stream_mirror": _stream_mirror, "stream_withdraw_finance": _stream_finance,
         "window_login_1m": _windows("signup", "1 minute"), "window_order_1h": _windows("purchase", "1 hour"),
         "corrupt_events": _corrupt_events, "not_null_key": _not_null_key,
         **{f"dim_{name}": _dimension(name) for name in S.DIMENSIONS},

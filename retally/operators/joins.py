@@ -8,6 +8,8 @@ from retally.functions import scalars as X
 from retally.operators.aggregate import SIGN
 
 PAYMENT_DONE = ("COMPLETED", "WITHDRAW_FAIL")
+PAYMENT_COLUMNS = ["id", "withdraw_order_no", "payment_order_no", "amount", "withdrawal_channel_id",
+                   "pay_provider_id", "order_status", "update_time"]
 NULL_SPREAD = 64
 
 

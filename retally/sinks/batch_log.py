@@ -5,6 +5,11 @@ owns one folder, written as a whole, and only ever reads folders of earlier
 batches, so a second run writes the same folder again and nothing is added
 twice.  Every so often the folders so far are added up into a base folder.
 
+Rows are kept together by the ``cluster`` columns (the day, first of all), so
+that a filter on them skips files and row groups by their statistics.  There is
+no folder per day: a batch of late changes may touch thousands of days with a
+few rows each.
+
 This is the plain-file stand-in for a table format with MERGE.
 """
 
@@ -12,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
 
 BATCH = "batch"
 
@@ -33,13 +38,14 @@ def workspace(spark: SparkSession, name: str) -> str:
 
 
 class BatchLog:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, partition: Sequence[str] = ()):
-        self.spark, self.path, self.schema, self.partition = spark, path, schema, list(partition)
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, cluster: Sequence[str] = ()):
+        self.spark, self.path, self.schema, self.cluster = spark, path, schema, list(cluster)
         self._stored = T.StructType(schema.fields + [T.StructField(BATCH, T.LongType())])
 
     def write(self, batch: int, df: DataFrame) -> None:
         """The rows of one batch; a batch written before is replaced."""
-        self._save(df, f"{self.path}/part/{BATCH}={batch}")
+        near = df.hint("rebalance", *self.cluster) if self.cluster else df.hint("rebalance")
+        self._save(near, f"{self.path}/part/{BATCH}={batch}")
 
     def read(self, before: int | None = None) -> DataFrame:
         """Rows of all batches (before one), with the column ``batch``."""
@@ -54,21 +60,28 @@ class BatchLog:
     def one(self, batch: int) -> DataFrame:
         return self._load("part", [batch])
 
-    def compact(self, upto: int, fold: Callable[[DataFrame], DataFrame], every: int) -> bool:
-        """Add the batches up to ``upto`` into a new base once ``every`` of them are waiting."""
+    def compact(self, upto: int, fold: Callable[[DataFrame], DataFrame], every: int,
+                cut: Sequence[Column | str] = ()) -> bool:
+        """Add the batches up to ``upto`` into a new base once ``every`` of them are waiting.
+
+        The base is ordered by range of the cluster columns and then ``cut``,
+        which splits a day that holds very many rows.
+        """
         if len(self._live(upto + 1)[1]) < every:
             return False
-        self._save(fold(self.read(upto + 1)).select(*self.schema.names), f"{self.path}/base/{BATCH}={upto}")
+        whole = fold(self.read(upto + 1))
+        if self.cluster:
+            whole = whole.repartitionByRange(*self.cluster, *cut)
+        self._save(whole, f"{self.path}/base/{BATCH}={upto}")
         return True
 
     # -- folders ------------------------------------------------------------------
 
     def _save(self, df: DataFrame, folder: str) -> None:
         df = df.select(*self.schema.names)
-        writer = (df.hint("rebalance", *self.partition) if self.partition else df).write.mode("overwrite")
-        # a static overwrite replaces the whole folder, also its stale partitions
-        writer = writer.option("partitionOverwriteMode", "static")
-        (writer.partitionBy(*self.partition) if self.partition else writer).parquet(folder)
+        if self.cluster:
+            df = df.sortWithinPartitions(*self.cluster)
+        df.write.mode("overwrite").parquet(folder)
 
     def _load(self, kind: str, batches: Sequence[int]) -> DataFrame:
         root = f"{self.path}/{kind}"

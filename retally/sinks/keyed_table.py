@@ -25,16 +25,16 @@ class KeyedTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, row: T.StructType, key: Sequence[str],
-                 partition: Sequence[str] = (), keep_deleted: bool = False):
-        self.row, self.key, self.partition, self.keep_deleted = row, list(key), list(partition), keep_deleted
-        lead = T.StructType([T.StructField(f"_p_{p}", row[p].dataType) for p in partition])
+                 cluster: Sequence[str] = (), keep_deleted: bool = False):
+        self.row, self.key, self.cluster, self.keep_deleted = row, list(key), list(cluster), keep_deleted
+        lead = T.StructType([T.StructField(f"_p_{p}", row[p].dataType) for p in cluster])
         schema = T.StructType(lead.fields + [T.StructField("before", row), T.StructField("after", row),
                                              T.StructField("op", T.StringType()), T.StructField("at", _PLACE)])
-        self.log = BatchLog(spark, path, schema, [f"_p_{p}" for p in partition])
+        self.log = BatchLog(spark, path, schema, [f"_p_{p}" for p in cluster])
 
     def write(self, batch: int, changes: DataFrame) -> None:
         """Changes of distinct keys; collapse a batch with ``last_changes`` first if need be."""
-        lead = [F.coalesce(F.col(f"after.{p}"), F.col(f"before.{p}")).alias(f"_p_{p}") for p in self.partition]
+        lead = [F.coalesce(F.col(f"after.{p}"), F.col(f"before.{p}")).alias(f"_p_{p}") for p in self.cluster]
         to_row = lambda c: F.col(c).cast(self.row).alias(c)
         placed = {"ts_ms", "pos"} <= set(changes.columns)
         at = F.struct("ts_ms", "pos") if placed else F.struct(F.lit(batch).alias("ts_ms"), F.lit(0).alias("pos"))
@@ -46,7 +46,7 @@ class KeyedTable:
     def current(self, before: int | None = None, keys: DataFrame | None = None, prune=None) -> DataFrame:
         """The rows now (or before a batch), all or those of some keys (a small frame of key columns).
 
-        ``prune`` is a condition on the stored partition columns.
+        ``prune`` is a condition on the stored cluster columns.
         """
         stored = self.log.read(before)
         if prune is not None:
@@ -62,7 +62,7 @@ class KeyedTable:
     def compact(self, upto: int, every: int) -> bool:
         def fold(stored: DataFrame) -> DataFrame:
             names = [f"_k_{k}" for k in self.key]
-            lead = [f"_p_{p}" for p in self.partition]
+            lead = [f"_p_{p}" for p in self.cluster]
             last = changed_keys(stored, self.key).groupBy(*names, *lead).agg(
                 F.max_by("after", "at").alias("after"), F.max_by("before", "at").alias("before"), F.max("at").alias("at"))
             gone = F.col("after").isNull()
@@ -70,7 +70,8 @@ class KeyedTable:
             return last.select(*lead, F.when(gone, F.col("before")).alias("before"), "after",
                                F.when(gone, "d").otherwise("c").alias("op"), "at")
 
-        return self.log.compact(upto, fold, every)
+        cut = [F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")) for k in self.key]
+        return self.log.compact(upto, fold, every, cut)
 
 
 def only_keys(df: DataFrame, keys: DataFrame, names: dict[str, str] | None = None) -> DataFrame:

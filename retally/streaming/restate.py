@@ -7,7 +7,7 @@ change batch (insert, update, delete) for the keyed target, and at the same
 time the input of any report built on this one.
 
 Nothing here looks at more than the touched groups (and, for daily reports, the
-touched days' folders); nothing expires; a batch that runs again changes nothing.
+touched days); nothing expires; a batch that runs again changes nothing.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from retally.sinks.batch_log import BatchLog
 from retally.sinks.keyed_table import KeyedTable, only_keys
 
 DAY = "statistic_time"
-MOST_DAYS = 1000        # days named in a partition filter; beyond it the days are joined instead
+MOST_DAYS = 1000        # days named in a scan filter; beyond it all days are read
 
 
 def _days(keys: DataFrame, column: str = DAY) -> list | None:
@@ -36,7 +36,7 @@ def _days(keys: DataFrame, column: str = DAY) -> list | None:
 
 
 def _on(column: str, days: list | None) -> Column:
-    """Condition on a day partition."""
+    """Condition that lets the scan skip other days."""
     if days is None:
         return F.lit(True)
     named = F.col(column).isin([d for d in days if d is not None])
@@ -72,7 +72,8 @@ class Report:
         return self.table.changes(batch)
 
     def tidy(self, batch: int) -> None:
-        self.parts.compact(batch, lambda d: fold(d.drop("batch"), self.agg), self.every)
+        self.parts.compact(batch, lambda d: fold(d.drop("batch"), self.agg), self.every,
+                           [k for k in self.agg.key_names + self.agg.partial_keys() if k != DAY])
         self.table.compact(batch, self.every)
 
 
@@ -105,7 +106,8 @@ class OrderPayments:
 
     def tidy(self, batch: int) -> None:
         for log in (self.orders, self.payments):
-            log.compact(batch, lambda d: net_rows(d.drop("batch")), self.every)
+            number = "order_no" if "order_no" in log.schema.names else "withdraw_order_no"
+            log.compact(batch, lambda d: net_rows(d.drop("batch")), self.every, [number])
 
 
 def _bare(signed: DataFrame) -> DataFrame:

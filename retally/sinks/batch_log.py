@@ -27,7 +27,7 @@ def workspace(spark: SparkSession, name: str) -> str:
 
     Only where no such folder is named (a local test) a temporary one is made.
     """
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{name}"
     if not spark.sparkContext.master.startswith("local"):

@@ -45,9 +45,12 @@ def plan(df):
 
 @pytest.fixture
 def full_plans(spark):
-    spark.conf.set("spark.sql.debug.maxToStringFields", "2000")
+    settings = {"spark.sql.debug.maxToStringFields": "2000", "spark.sql.maxMetadataStringLength": "20000"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     yield
-    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    for key in settings:
+        spark.conf.unset(key)
 
 
 @pytest.mark.parametrize("name", ["dws_channel_game", "dws_user_reward", "dws_withdraw_finance", "dim_device_lookup",

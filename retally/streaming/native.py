@@ -18,14 +18,22 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from retally.operators.aggregate import ROWS, SIGN, Aggregate, deltas, finished_deltas
 
 
+EVENT_TIME = "event_time"
+
+
 def bounded(df: DataFrame, column: str = "update_time", lateness: str = "5 minutes") -> DataFrame:
-    """Declare how late rows may be; nothing is dropped unless an operator below asks for it."""
-    return df.withWatermark(column, lateness)
+    """Declare how late rows may be; nothing is dropped unless an operator below asks for it.
+
+    A watermark needs an instant, so the zone-less ``column`` is read as UTC
+    into ``event_time``; the column itself stays.
+    """
+    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(column))
+    return df.withColumn(EVENT_TIME, local.cast("timestamp")).withWatermark(EVENT_TIME, lateness)
 
 
 def once_within(changes: DataFrame, identity: Sequence[str], column: str, lateness: str) -> DataFrame:
     """Each change once when the log may deliver it again; identities are remembered for ``lateness``."""
-    return changes.withWatermark(column, lateness).dropDuplicatesWithinWatermark(list(identity))
+    return bounded(changes, column, lateness).dropDuplicatesWithinWatermark(list(identity)).drop(EVENT_TIME)
 
 
 def running(signed: DataFrame, agg: Aggregate) -> DataFrame:
@@ -101,6 +109,18 @@ def heads_of_pieces(pieces: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def per_window(df: DataFrame, column: str, width: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Rows per tumbling window (logins per minute, orders per hour); batch or stream."""
+    """Rows per tumbling window (logins per minute, orders per hour); batch or stream.
+
+    Windows of a ``bounded`` stream are taken over its ``event_time``.
+    """
+    if EVENT_TIME in df.columns:
+        column = EVENT_TIME
     counted = df.groupBy(F.window(column, width).alias("w"), *keys).agg(F.count(F.lit(1)).alias("rows_in_window"))
-    return counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "rows_in_window")
+
+    def wall(edge: str):
+        at = F.col(f"w.{edge}")
+        if column == EVENT_TIME:
+            at = F.convert_timezone(F.current_timezone(), F.lit("UTC"), at.cast("timestamp_ntz"))
+        return at.alias(f"window_{edge}")
+
+    return counted.select(wall("start"), wall("end"), *keys, "rows_in_window")

@@ -159,8 +159,9 @@ def test_watermark_and_windows(spark, tmp_path):
     query = (out.writeStream.outputMode("update").foreachBatch(lambda df, b: got.extend(df.collect()))
              .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
     assert query.awaitTermination(60)
-    assert sorted(r.rows_in_window for r in got) == [4, 4, 4, 4]
-    once = native.once_within(stream.unionByName(stream), ["i"], "update_time", "5 minutes")
+    assert sorted((r.window_start.minute, r.rows_in_window) for r in got) == [(0, 4), (1, 4), (2, 4), (3, 4)]
+    again = spark.readStream.schema("i INT, update_time TIMESTAMP_NTZ").parquet(folder)
+    once = native.once_within(stream.unionByName(again), ["i"], "update_time", "5 minutes")
     seen = []
     query = (once.writeStream.foreachBatch(lambda df, b: seen.extend(r.i for r in df.collect()))
              .option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start())

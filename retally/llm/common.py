@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Text a task works on at once; only memory depends on it, never a result.
 SLICE_BYTES = 4_000_000
+#: An Arrow batch between Spark and a worker; both sides hold one or two of them per task.
+BATCH_BYTES = 8 << 20
 
 
 def workspace(spark: SparkSession, name: str) -> str:
@@ -36,7 +38,12 @@ def kept(df: DataFrame, path: str) -> DataFrame:
 
 
 def ready(spark: SparkSession) -> None:
-    """Let Python workers of a session that was started elsewhere import this package."""
+    """Let Python workers of a session that was started elsewhere import this package, keep Arrow batches small and free disk early.
+
+    Every step is a written table, so the shuffle files of a finished step are not needed again.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

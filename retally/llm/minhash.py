@@ -14,10 +14,10 @@ nothing.  Equal sets are one class throughout, so copies never meet as pairs.
 Links inside a bucket are found without pairing all its members.  In each of a
 few rounds one random member of every bucket (the pivot) is compared with the
 members it is not yet connected to; what is linked is connected before the next
-round.  After them, the pairs of a bucket that are still unconnected are compared
-one by one, unless their distances to a common pivot differ by more than a link
-allows (Jaccard distance is a metric, so these cannot be links).  No link between
-unconnected documents is left out; nothing is capped.
+round.  After them, all pairs of a bucket that are still unconnected are looked at, in
+blocks within a task: signatures that agree in too few coordinates for a link (by
+``SIGMAS`` standard deviations) exclude a pair, and clusters of the others are compared on their full
+sets, again in blocks.  A task gives the edges that connect its rows, not all pairs.  Nothing is capped.
 """
 
 from __future__ import annotations
@@ -42,6 +42,10 @@ ROWS = 5
 #: A pair at the threshold is missed with less than this probability.
 MISS = 1e-8
 PIVOT_ROUNDS = 2
+#: Signatures exclude a pair that agrees in so many standard deviations fewer coordinates than a link would.
+SIGMAS = 6
+#: Members in one block of a bucket.
+BLOCK = 512
 
 
 def bands(percent: int) -> int:
@@ -118,19 +122,21 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 def _profile(k: int, width: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_key", pa.binary()),
-                        ("bands", pa.list_(pa.int64()))])
+                        ("bands", pa.list_(pa.int64())), ("signs", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = shingle_sets(texts(batch), k)
             full = [s for s in sets if len(s)]
-            rows = iter(band_keys(np.stack([signature(s, width * ROWS) for s in full])) if full else ())
+            signs = np.stack([signature(s, width * ROWS) for s in full]) if full else np.empty((0, width * ROWS), np.int32)
+            rows, low = iter(band_keys(signs)), iter(mixed(signs.astype(np.uint64)).astype(np.uint8))
             yield pa.RecordBatch.from_arrays([
                 batch.column(batch.schema.get_field_index("doc_id")),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                          pa.binary()),
                 pa.array([next(rows) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                pa.array([next(low).tobytes() if len(s) else None for s in sets], pa.binary()),
             ], schema=schema)
 
     return run
@@ -184,7 +190,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     ready(spark)
     home, width = workspace(spark, "minhash"), bands(percent)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    profile = kept(docs.mapInArrow(_profile(k, width), "doc_id long, n long, set_key binary, bands array<long>"),
+    profile = kept(docs.mapInArrow(_profile(k, width), "doc_id long, n long, set_key binary, bands array<long>, signs binary"),
                    f"{home}/profile")
     classes = profile.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("cls"))
     # one row per class and band; buckets with one class hold no pair
@@ -192,6 +198,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     member = head.select(F.explode("bands").alias("key"), F.col("doc_id").alias("cls"), "n").distinct()
     shared = member.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").drop("c")
     member = kept(member.join(shared, "key"), f"{home}/member")
+    signs = head.select(F.col("doc_id").alias("cls"), "signs").dropDuplicates(["cls"])
     wanted = member.select(F.col("cls").alias("doc_id")).distinct()
     sets = kept(docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
                 .mapInArrow(_sets(k), "cls long, shingles binary"), f"{home}/sets")
@@ -218,35 +225,110 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             F.col("id").alias("cls"), F.coalesce("component", "id").alias("component"))
         group = kept(group, f"{home}/group-{number}")
 
-    rest = _rest(member, group, seen, percent, sized)
-    found = kept(_verified(rest, sets), f"{home}/rest")
-    links = links.unionAll(found.where(link).select("a", "b"))
+    links = links.unionAll(kept(_rest(member, group, signs, sets, width, percent, home), f"{home}/rest"))
     joined = components(links, f"{home}/components")
     of_class = classes.join(joined.select(F.col("id").alias("cls"), "component"), "cls", "left").select(
         "set_key", F.coalesce("component", "cls").alias("component"))
-    return profile.drop("bands").join(of_class, "set_key", "left").select(
+    return profile.select("doc_id", "n", "set_key").join(of_class, "set_key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")).withColumn(
         "kept", F.col("doc_id") == F.col("component_id"))
 
 
-def _rest(member: DataFrame, group: DataFrame, seen: DataFrame, percent: int, sized) -> DataFrame:
-    """Pairs of one bucket in different components that no pivot excludes."""
+def _limit(coordinates: int, percent: int) -> int:
+    """Coordinates that a link's signatures agree in, but for chances of ``SIGMAS`` standard deviations."""
+    share = percent / 100
+    return int(coordinates * (share - SIGMAS * math.sqrt(share * (1 - share) / coordinates)))
+
+
+def _forest(group: dict[str, np.ndarray], least: int, percent: int) -> list[tuple[int, int]]:
+    """Edges that join the rows of a group: a pair in different components that agrees in ``least`` coordinates and,
+    where the group has full sets, is a link.  Pairs that earlier edges connect are passed over."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    edges, sets = [], group.get("shingles")
+    right = np.flatnonzero(group["right"])
+    signs, cls, n, component = group["signs"][right], group["cls"][right], group["n"][right], group["component"][right]
+    for i in np.flatnonzero(group["left"]):
+        mine, size = int(group["cls"][i]), int(group["n"][i])
+        alike = (signs == group["signs"][i]).sum(axis=1) >= least
+        fits = 100 * np.minimum(n, size) >= percent * np.maximum(n, size)
+        own = np.frombuffer(sets[i], np.uint64) if sets is not None else None
+        for j in np.flatnonzero(alike & fits & (component != group["component"][i])):
+            a, b = find(mine), find(int(cls[j]))
+            if a == b:
+                continue
+            if own is not None:
+                other = np.frombuffer(sets[right[j]], np.uint64)
+                at = np.minimum(np.searchsorted(other, own), len(other) - 1)
+                both = int((other[at] == own).sum())
+                if 100 * both < percent * (len(own) + len(other) - both):
+                    continue
+            root[max(a, b)] = min(a, b)
+            edges.append((mine, int(cls[j])))
+    return edges
+
+
+def _blocks(coordinates: int, percent: int):
+    """Forests of the groups (key, p, q).  Rows come sorted by group; only the rows of one group are held."""
+    least = _limit(coordinates, percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+
+        def joined(cuts: np.ndarray) -> pa.RecordBatch:
+            edges = [e for a, b in zip(cuts[:-1], cuts[1:])
+                     for e in _forest({k: v[a:b] for k, v in held.items()}, least, percent)]
+            return pa.RecordBatch.from_arrays([pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            rows = {name: batch.column(i).to_numpy(zero_copy_only=False) for i, name in enumerate(batch.schema.names)}
+            rows["signs"] = np.frombuffer(b"".join(rows["signs"]), np.uint8).reshape(-1, coordinates)
+            held = {k: np.concatenate([held[k], rows[k]]) for k in rows} if held else rows
+            if len(held["key"]):
+                new = np.any([held[c][1:] != held[c][:-1] for c in ("key", "p", "q")], axis=0)
+                cuts = np.concatenate([[0], np.flatnonzero(new) + 1])
+                yield joined(cuts)
+                held = {k: v[cuts[-1]:] for k, v in held.items()}
+        if held and len(held["key"]):
+            yield joined(np.array([0, len(held["key"])]))
+
+    return run
+
+
+def _paired(placed: DataFrame, payload: DataFrame, width: int, percent: int) -> DataFrame:
+    """Forests over ``placed(key, cls, n, component)``: members outside a key's first component against all its members,
+    in blocks of both, so a crowded key is spread over many tasks."""
+    stats = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                      F.count("*").alias("all")).where("lo < hi")
+    placed = placed.join(stats, "key")
+    others = placed.groupBy("key").agg(F.sum((F.col("component") != F.col("lo")).cast("long")).alias("others"))
+    placed = placed.join(others, "key").select(
+        "key", "cls", "n", "component", (F.col("component") != F.col("lo")).alias("is_other"),
+        F.ceil(F.col("others") / BLOCK).cast("long").alias("ps"), F.ceil(F.col("all") / BLOCK).cast("long").alias("qs"))
+    salt, columns = F.xxhash64("cls", "key"), ("key", "cls", "n", "component")
+    left = placed.where("is_other").select(*columns, F.pmod(salt, "ps").alias("p"), F.explode(F.expr("sequence(0L, qs - 1)")).alias("q"),
+                                           F.lit(True).alias("left"), F.lit(False).alias("right"))
+    right = placed.select(*columns, F.explode(F.expr("sequence(0L, ps - 1)")).alias("p"), F.pmod(salt, "qs").alias("q"),
+                          F.lit(False).alias("left"), F.lit(True).alias("right"))
+    rows = left.unionAll(right).join(payload, "cls").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+    return rows.mapInArrow(_blocks(width * ROWS, percent), "a long, b long")
+
+
+def _rest(member: DataFrame, group: DataFrame, signs: DataFrame, sets: DataFrame, width: int, percent: int,
+          home: str) -> DataFrame:
+    """Links between components that share a bucket (enough of them to connect whatever is linked).
+
+    Buckets overlap a lot, so signatures first tell which members may be linked at all; clusters of these are then compared on
+    their full sets, which travel once per block of a cluster.
+    """
     placed = member.join(group, "cls")
-    several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    placed = placed.join(several.select("key"), "key")
-    # distance to the pivot of the first round, where it was measured (0 for the pivot itself)
-    pivot = placed.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "cls", F.lit(0)), F.col("cls"))).alias("p"))
-    far = seen.select("a", "b", (1 - F.col("both") / F.col("either")).alias("d"))
-    placed = placed.join(pivot.select("key", F.col("p.cls").alias("pivot")), "key").select(
-        "*", F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b"))
-    placed = placed.join(far, ["a", "b"], "left").select(
-        "key", "cls", "n", "component", F.when(F.col("cls") == F.col("pivot"), 0.0).otherwise(F.col("d")).alias("d"))
-    reach = 1 - percent / 100
-    left = placed.select("key", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"),
-                         F.col("d").alias("da"))
-    right = placed.select("key", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"),
-                          F.col("d").alias("db"))
-    near = F.coalesce(F.abs(F.col("da") - F.col("db")) <= reach + 1e-9, F.lit(True))
-    pairs = left.join(right, (left.key == right.key) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                      & sized & near).select("a", "b").distinct()
-    return pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
+    maybe = kept(_paired(placed, signs, width, percent).distinct(), f"{home}/maybe")
+    cluster = components(maybe, f"{home}/clusters").select(F.col("id").alias("cls"), F.col("component").alias("key"))
+    sizes = member.select("cls", "n").distinct()
+    placed = cluster.join(sizes, "cls").join(group, "cls").select("key", "cls", "n", "component")
+    return _paired(placed, signs.join(sets, "cls"), width, percent)

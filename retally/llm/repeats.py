@@ -37,9 +37,9 @@ from retally.llm.common import kept, mixed, ready, texts, workspace
 
 LENGTH = 50
 GRAM, LONG_GRAM = 20, 44
-CHUNK_BYTES = 4_000_000
-INDEX_BYTES = 1_000_000
-_BLOCK = 4_000_000
+CHUNK_BYTES = 2_000_000
+INDEX_BYTES = 500_000
+_BLOCK = 500_000
 
 
 def _least(h: np.ndarray, width: int) -> np.ndarray:
@@ -190,7 +190,7 @@ def _joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     values = [v or b"" for v in table["text"].to_pylist()]
     size = np.array([len(v) for v in values], np.int64)
     raw = np.frombuffer(b"".join(values), np.uint8)
-    return raw, np.repeat(np.arange(len(values)), size), ids, np.cumsum(size) - size
+    return raw, np.repeat(np.arange(len(values), dtype=np.int32), size), ids, np.cumsum(size) - size
 
 
 def _without_copies(table: pa.Table) -> pa.Table:
@@ -220,9 +220,11 @@ def _send(width: int, buckets: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         raw, owner, _, _ = _joined(_without_copies(table))
         least, doc, _, _ = runs(raw, owner)
-        pairs = np.unique(np.stack([_short(least, width), doc.astype(np.uint64)]), axis=1) if len(least) else \
-            np.empty((2, 0), np.uint64)
-        values, times = np.unique(pairs[0], return_counts=True)
+        values = _short(least, width)
+        order = np.lexsort((doc, values))
+        values, doc = values[order], doc[order]
+        new = np.append(True, (values[1:] != values[:-1]) | (doc[1:] != doc[:-1]))[:len(values)]
+        values, times = np.unique(values[new], return_counts=True)
         bucket = (values >> np.uint64(8 * width - 32)) * np.uint64(buckets) >> np.uint64(32)
         numbers, first = np.unique(bucket, return_index=True)
         parts = list(zip(np.split(values, first[1:]), np.split(times, first[1:]))) if len(numbers) else []
@@ -278,8 +280,11 @@ _MARKED = pa.schema([("sid", pa.binary()), ("owner", pa.int64()), ("marks", pa.l
 
 
 def _index(table: pa.Table) -> pa.Table:
+    """Marks of a bucket's segments.  A segment alone under its minimizer has nothing to be searched for in."""
+    _, which, count = np.unique(table["minimizer"].to_numpy(), return_inverse=True, return_counts=True)
+    table = table.filter(pa.array(count[which] > 1))
     segments, owner = table["segment"].to_pylist(), table["owner"].to_numpy()
-    marks = RunLengthIndex(segments, owner).stream()
+    marks = RunLengthIndex(segments, owner).stream() if segments else []
     return pa.table([table["sid"], table["owner"], pa.array([[x for span in m for x in span] for m in marks],
                                                             pa.list_(pa.int64()))], schema=_MARKED)
 
@@ -299,7 +304,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _marked(distinct: DataFrame, home: str, level: int = 0) -> DataFrame:
-    """``(sid, owner, marks)`` of distinct segments ``(segment, minimizer, sid, owner)``."""
+    """``(sid, owner, marks)`` of distinct segments ``(segment, minimizer, sid, owner)``; those alone under a minimizer may be left out."""
     size = F.octet_length("segment")
     total = distinct.agg(F.sum(size)).first()[0] or 0
     buckets = max(1, math.ceil(total / INDEX_BYTES))
@@ -309,7 +314,7 @@ def _marked(distinct: DataFrame, home: str, level: int = 0) -> DataFrame:
     if level == 0 and not crowded.isEmpty():
         ordinary = distinct.join(crowded, "minimizer", "left_anti")
     bucket = F.pmod(F.xxhash64("minimizer"), F.lit(buckets)).alias("bucket")
-    done = ordinary.select(bucket, "segment", "sid", "owner").groupBy("bucket").applyInArrow(
+    done = ordinary.select(bucket, "segment", "minimizer", "sid", "owner").groupBy("bucket").applyInArrow(
         _index, "sid binary, owner long, marks array<long>")
     done = kept(done, f"{home}/marked-{level}")
     if level or ordinary is distinct:
@@ -320,10 +325,10 @@ def _marked(distinct: DataFrame, home: str, level: int = 0) -> DataFrame:
     again = kept(again.withColumn("sid", F.unhex(F.md5("segment"))), f"{home}/inner")
     found = _marked(again, f"{home}/inner-marks", 1)
     # a piece of a later owner than the piece's earliest is a repeat as a whole
-    back = inner.withColumn("sid", F.unhex(F.md5("segment"))).join(
-        found.withColumnRenamed("owner", "earliest"), "sid").select(
+    told = again.select("sid", F.col("owner").alias("earliest")).join(found.select("sid", "marks"), "sid", "left")
+    back = inner.withColumn("sid", F.unhex(F.md5("segment"))).join(told, "sid").select(
         "outer", "owner", F.when(F.col("owner") > F.col("earliest"), F.array("at", F.col("at") + F.octet_length("segment")))
-        .otherwise(F.transform("marks", lambda m: m + F.col("at"))).alias("marks"))
+        .otherwise(F.transform(F.coalesce("marks", F.array().cast("array<long>")), lambda m: m + F.col("at"))).alias("marks"))
     back = back.groupBy("outer", "owner").agg(F.flatten(F.collect_list("marks")).alias("marks"))
     return done.unionAll(back.select(F.col("outer").alias("sid"), "owner", "marks"))
 
@@ -438,7 +443,8 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     distinct = occurrences.where("segment is not null").groupBy("segment", "minimizer", "sid").agg(
         F.min("doc_id").alias("owner"))
-    marked = _marked(kept(distinct, f"{home}/distinct"), home)
+    distinct = kept(distinct, f"{home}/distinct")
+    marked = distinct.select("sid", "owner").join(_marked(distinct, home).select("sid", "marks"), "sid", "left")
     whole = occurrences.where("segment is null").select("doc_id", F.col("start"), (F.col("start") + F.col("size")).alias("end"))
     told = occurrences.where("segment is not null").select("sid", "doc_id", "start", "size").join(marked, "sid")
     later = told.where("doc_id > owner").select("doc_id", "start", (F.col("start") + F.col("size")).alias("end"))

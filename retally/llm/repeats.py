@@ -250,7 +250,7 @@ def _answer(width: int):
     return run
 
 
-_OCCURRENCE = pa.schema([("segment", pa.binary()), ("minimizer", pa.int64()), ("sid", pa.binary()), ("doc_id", pa.int64()),
+_OCCURRENCE = pa.schema([("segment", pa.binary()), ("minimizer", pa.int64()), ("doc_id", pa.int64()),
                          ("start", pa.int64()), ("size", pa.int64())])
 
 
@@ -267,34 +267,35 @@ def _cut(width: int):
         for i, d, s, e in zip(here.tolist(), ids[doc[here]].tolist(), start[here].tolist(), end[here].tolist()):
             segment = data[s:e]
             known = seen.setdefault(segment, d)
-            sid = hashlib.blake2b(segment, digest_size=16).digest() if known == d else None
-            rows.append((segment if known == d else None, int(least[i].view(np.int64)), sid, d,
-                         s - int(first[doc[i]]), e - s))
-        columns = list(zip(*rows)) if rows else [()] * 6
+            rows.append((segment if known == d else None, int(least[i].view(np.int64)), d, s - int(first[doc[i]]), e - s))
+        columns = list(zip(*rows)) if rows else [()] * 5
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, _OCCURRENCE)], schema=_OCCURRENCE)
 
     return run
 
 
-_MARKED = pa.schema([("sid", pa.binary()), ("owner", pa.int64()), ("marks", pa.list_(pa.int64()))])
+_MARKED = pa.schema([("sid", pa.binary()), ("owner", pa.int64()), ("times", pa.int64()), ("marks", pa.list_(pa.int64()))])
 
 
 def _index(table: pa.Table) -> pa.Table:
     """Marks of a bucket's segments.  A segment alone under its minimizer has nothing to be searched for in."""
     _, which, count = np.unique(table["minimizer"].to_numpy(), return_inverse=True, return_counts=True)
-    table = table.filter(pa.array(count[which] > 1))
+    several = np.flatnonzero(count[which] > 1)
     segments, owner = table["segment"].to_pylist(), table["owner"].to_numpy()
-    marks = RunLengthIndex(segments, owner).stream() if segments else []
-    return pa.table([table["sid"], table["owner"], pa.array([[x for span in m for x in span] for m in marks],
-                                                            pa.list_(pa.int64()))], schema=_MARKED)
+    marks: list = [[]] * len(segments)
+    if len(several):
+        for i, spans in zip(several.tolist(), RunLengthIndex([segments[i] for i in several], owner[several]).stream()):
+            marks[i] = [x for span in spans for x in span]
+    return pa.table([pa.array([hashlib.md5(s).digest() for s in segments], pa.binary()), table["owner"], table["times"],
+                     pa.array(marks, pa.list_(pa.int64()))], schema=_MARKED)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Segments of a crowded minimizer cut by the longer one; ``at`` is the place in the segment."""
     for batch in batches:
         rows = []
-        for sid, owner, segment in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist()
-                                         for c in ("sid", "owner", "segment"))):
+        for owner, segment in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("owner", "segment"))):
+            sid = hashlib.md5(segment).digest()
             raw = np.frombuffer(segment, np.uint8)
             for least, _, s, e in zip(*(x.tolist() for x in runs(raw, np.zeros(len(raw), np.int64), LONG_GRAM))):
                 rows.append((sid, owner, segment[s:e], int(np.uint64(least).view(np.int64)), s))
@@ -304,33 +305,35 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _marked(distinct: DataFrame, home: str, level: int = 0) -> DataFrame:
-    """``(sid, owner, marks)`` of distinct segments ``(segment, minimizer, sid, owner)``; those alone under a minimizer may be left out."""
+    """``(sid, owner, times, marks)`` of distinct segments ``(segment, minimizer, owner, times)``; ``sid`` is their digest."""
     size = F.octet_length("segment")
     total = distinct.agg(F.sum(size)).first()[0] or 0
     buckets = max(1, math.ceil(total / INDEX_BYTES))
     crowded = distinct.groupBy("minimizer").agg(F.sum(size).alias("bytes")).where(F.col("bytes") > 2 * INDEX_BYTES)
     crowded = kept(crowded.select("minimizer"), f"{home}/crowded-{level}")
-    ordinary = distinct
-    if level == 0 and not crowded.isEmpty():
-        ordinary = distinct.join(crowded, "minimizer", "left_anti")
+    split = level == 0 and not crowded.isEmpty()
+    ordinary = distinct.join(crowded, "minimizer", "left_anti") if split else distinct
     bucket = F.pmod(F.xxhash64("minimizer"), F.lit(buckets)).alias("bucket")
-    done = ordinary.select(bucket, "segment", "minimizer", "sid", "owner").groupBy("bucket").applyInArrow(
-        _index, "sid binary, owner long, marks array<long>")
-    done = kept(done, f"{home}/marked-{level}")
-    if level or ordinary is distinct:
+    done = kept(ordinary.select(bucket, "segment", "minimizer", "owner", "times").groupBy("bucket").applyInArrow(
+        _index, "sid binary, owner long, times long, marks array<long>"), f"{home}/marked-{level}")
+    if not split:
         return done
-    inner = kept(distinct.join(crowded, "minimizer", "left_semi").select("sid", "owner", "segment").mapInArrow(
+    outer = distinct.join(crowded, "minimizer", "left_semi")
+    inner = kept(outer.select("owner", "segment").mapInArrow(
         _pieces, "outer binary, owner long, segment binary, minimizer long, at long"), f"{home}/pieces")
-    again = inner.groupBy("segment", "minimizer").agg(F.min("owner").alias("owner"))
-    again = kept(again.withColumn("sid", F.unhex(F.md5("segment"))), f"{home}/inner")
-    found = _marked(again, f"{home}/inner-marks", 1)
+    again = inner.groupBy("segment", "minimizer").agg(F.min("owner").alias("owner"), F.count("*").alias("times"))
+    found = _marked(kept(again, f"{home}/inner"), home, 1).select("sid", F.col("owner").alias("earliest"), "marks")
     # a piece of a later owner than the piece's earliest is a repeat as a whole
-    told = again.select("sid", F.col("owner").alias("earliest")).join(found.select("sid", "marks"), "sid", "left")
-    back = inner.withColumn("sid", F.unhex(F.md5("segment"))).join(told, "sid").select(
-        "outer", "owner", F.when(F.col("owner") > F.col("earliest"), F.array("at", F.col("at") + F.octet_length("segment")))
-        .otherwise(F.transform(F.coalesce("marks", F.array().cast("array<long>")), lambda m: m + F.col("at"))).alias("marks"))
-    back = back.groupBy("outer", "owner").agg(F.flatten(F.collect_list("marks")).alias("marks"))
-    return done.unionAll(back.select(F.col("outer").alias("sid"), "owner", "marks"))
+    back = inner.withColumn("sid", _sid()).join(found, "sid").select(
+        "outer", F.when(F.col("owner") > F.col("earliest"), F.array("at", F.col("at") + size)).otherwise(
+            F.transform("marks", lambda m: m + F.col("at"))).alias("marks"))
+    back = back.groupBy("outer").agg(F.flatten(F.collect_list("marks")).alias("marks"))
+    return done.unionAll(outer.select(_sid().alias("sid"), "owner", "times").join(
+        back.withColumnRenamed("outer", "sid"), "sid", "left").select("sid", "owner", "times", "marks"))
+
+
+def _sid():
+    return F.unhex(F.md5("segment"))
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -437,25 +440,24 @@ def repeats(docs: DataFrame) -> DataFrame:
     sent = laid.groupBy("chunk").applyInArrow(_send(width, buckets), "bucket long, chunk long, all binary, shared binary")
     answers = sent.groupBy("bucket").applyInArrow(_answer(width), "chunk long, hits binary")
     occurrences = laid.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _cut(width), "segment binary, minimizer long, sid binary, doc_id long, start long, size long")
+        _cut(width), "segment binary, minimizer long, doc_id long, start long, size long")
     occurrences.write.option("compression", "zstd").parquet(f"{home}/occurrences")
     occurrences = spark.read.schema(occurrences.schema).parquet(f"{home}/occurrences")
 
-    distinct = occurrences.where("segment is not null").groupBy("segment", "minimizer", "sid").agg(
-        F.min("doc_id").alias("owner"))
-    distinct = kept(distinct, f"{home}/distinct")
-    marked = distinct.select("sid", "owner").join(_marked(distinct, home).select("sid", "marks"), "sid", "left")
-    whole = occurrences.where("segment is null").select("doc_id", F.col("start"), (F.col("start") + F.col("size")).alias("end"))
-    told = occurrences.where("segment is not null").select("sid", "doc_id", "start", "size").join(marked, "sid")
-    later = told.where("doc_id > owner").select("doc_id", "start", (F.col("start") + F.col("size")).alias("end"))
-    own = told.where("doc_id = owner and size(marks) > 0").select("doc_id", "start", F.explode(
-        F.expr("transform(sequence(0, size(marks) - 2, 2), i -> struct(marks[i] as s, marks[i + 1] as e))")).alias("m")).select(
-        "doc_id", (F.col("start") + F.col("m.s")).alias("start"), (F.col("start") + F.col("m.e")).alias("end"))
-    spans = whole.unionAll(later).unionAll(own).groupBy("doc_id").agg(
-        F.collect_list(F.struct("start", "end")).alias("spans"))
+    told, local = occurrences.where("segment is not null"), occurrences.where("segment is null")
+    distinct = told.groupBy("segment", "minimizer").agg(F.min("doc_id").alias("owner"), F.count("*").alias("times"))
+    marked = _marked(kept(distinct, f"{home}/distinct"), home).where("times > 1 or size(marks) > 0")
+    end = F.col("start") + F.col("size")
+    found = told.select(_sid().alias("sid"), "doc_id", "start", "size").join(marked, "sid").select(
+        "doc_id", F.when(F.col("doc_id") > F.col("owner"), F.array("start", end)).otherwise(
+            F.transform("marks", lambda m: m + F.col("start"))).alias("marks"))
+    places = found.unionAll(local.select("doc_id", F.array("start", end))).where("size(marks) > 0")
+    spans = places.groupBy("doc_id").agg(F.flatten(F.collect_list("marks")).alias("marks"))
+    every = lambda first: F.expr(f"transform(sequence({first}, size(marks) - 1, 2), i -> marks[i])")
     copies = copies.select("doc_id", F.lit(True).alias("copy"))
-    return spans.select("doc_id", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends")).join(
-        copies, "doc_id", "full").select("doc_id", "starts", "ends", F.coalesce("copy", F.lit(False)).alias("copy"))
+    notes = spans.select("doc_id", every(0).alias("starts"), every(1).alias("ends")).join(copies, "doc_id", "full").select(
+        "doc_id", "starts", "ends", F.coalesce("copy", F.lit(False)).alias("copy"))
+    return kept(notes, f"{home}/notes")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

@@ -411,6 +411,7 @@ def build() -> dict[str, str]:
             " UNION ALL SELECT 'device_users_relations_flat', row_kind, COUNT(*), COUNT(DISTINCT id) FROM b GROUP BY row_kind",
             a=ST["amount_operation"].images_sql(), b=ST["device_users"].images_sql()),
         "latest_image": with_("SELECT * FROM current", **now("game_record")),
+        "latest_image_of_pairs": with_("SELECT * FROM current", **now("game_record")),
         "latest_version": with_(
             "SELECT id, user_id, bet_amount, update_time FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY"
             " update_time DESC, game_id DESC, bet_amount DESC, bet_deposit_amount DESC, bet_no DESC, settle_withdrawal_amount DESC) AS n FROM game_record) WHERE n = 1",

@@ -103,6 +103,12 @@ def _latest_image(spark: SparkSession, folder: str) -> DataFrame:
     return C.current_rows(D.story_changes(spark, folder, "game_record"), S.GAME_RECORD.key)
 
 
+def _latest_image_of_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from change text in which an update is a delete and an insert, dealt out anew."""
+    text = E.encode_changes(D.story_changes(spark, folder, "game_record"), S.GAME_RECORD)
+    return C.current_rows(E.decode_changes(text.repartition(5), S.GAME_RECORD), S.GAME_RECORD.key)
+
+
 def _latest_version(spark: SparkSession, folder: str) -> DataFrame:
     """Repeated keys read as upserts: the largest version of each key stays."""
     games = D.rows(spark, folder, "game_record").select(
@@ -123,15 +129,14 @@ def _retract_finance(spark: SparkSession, folder: str) -> DataFrame:
 def _stream(spark: SparkSession, folder: str, story: str) -> DataFrame:
     """Changes of a table derived from events, as a stream."""
     schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    raw = spark.readStream.schema(schema).parquet(f"{folder}/events.parque[t]")
     rows = raw.selectExpr("*", f"{D.SPARK['K']} AS k", f"{D.SPARK['ISO']} AS iso")
     return D.STORIES[story].changes(rows)
 
 
 def _finish(query) -> None:
-    if not query.awaitTermination(3600):
-        query.stop()
-        raise TimeoutError("stream did not come to its end")
+    """Wait for the end; a failed query raises."""
+    query.awaitTermination()
 
 
 def _restated(wanted: Aggregate, *aggregates: Aggregate) -> Query:
@@ -182,14 +187,14 @@ def _stream_mirror(spark: SparkSession, folder: str) -> DataFrame:
     """The device relation mirrored from its change stream."""
     home = workspace(spark, f"retally-{uuid.uuid4().hex}")
     table = KeyedTable(spark, f"{home}/table", S.DEVICE_USERS.struct, S.DEVICE_USERS.key, keep_deleted=True)
-    lines = E.encode_changes(_stream(spark, folder, "device_users"), S.DEVICE_USERS, replace_updates=False)
+    lines = E.encode_changes(_stream(spark, folder, "device_users"), S.DEVICE_USERS)
     _finish(pipeline.run(lines, pipeline.mirror_batch(table, S.DEVICE_USERS), f"{home}/checkpoint"))
     return table.current()
 
 
 def _order_stream(spark: SparkSession, folder: str, story: str) -> DataFrame:
     schema = spark.read.parquet(f"{folder}/orders.parquet").schema
-    orders = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(folder)
+    orders = spark.readStream.schema(schema).parquet(f"{folder}/orders.parque[t]")
     customers = spark.read.parquet(f"{folder}/customer.parquet")
     return D.STORIES[story].changes(orders.join(customers, F.col("o_custkey") == F.col("c_custkey")))
 
@@ -287,7 +292,7 @@ def build() -> dict[str, Query]:
         "ods_proxy": _feed("proxy_statistic", P.proxy_feed), "ods_device_users": _feed("device_users", P.device_feed),
         "changelog_signed": _changelog_signed, "changelog_filter": _changelog_filter,
         "changelog_replace": _changelog_replace, "changelog_split": _changelog_split,
-        "latest_image": _latest_image, "latest_version": _latest_version,
+        "latest_image": _latest_image, "latest_image_of_pairs": _latest_image_of_pairs, "latest_version": _latest_version,
         "retract_user_game_day": _retract("game_record", P.clean_games, R.USER_GAME_DAY),
         "retract_channel_game": _retract("game_record", P.clean_games, R.CHANNEL_GAME_DAY),
         "retract_user_adjust": _retract("amount_operation", P.clean_amount_operations, R.USER_ADJUST_DAY,

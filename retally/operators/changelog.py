@@ -50,12 +50,13 @@ def changed_keys(changes: DataFrame, key: Sequence[str]) -> DataFrame:
 def last_changes(changes: DataFrame, key: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
     """The last change of every key: (key..., image, gone, at); image is null when the row is gone.
 
-    The largest position wins, not the last to arrive.  ``max_by`` combines on
+    The largest position wins, not the last to arrive; of an update written as delete and
+    insert at one position the insert is the later half.  ``max_by`` combines on
     the map side, so a key with very many versions does not gather in one task.
     """
     names = [f"_k_{k}" for k in key]
     at = F.struct(*order)
-    last = F.max_by(F.when(F.col("op") != "d", F.col("after")), at)
+    last = F.max_by(F.when(F.col("op") != "d", F.col("after")), F.struct(at, F.col("op") != "d"))
     return (changed_keys(changes, key).groupBy(*names).agg(last.alias("image"), F.max(at).alias("at"))
             .select(*[F.col(n).alias(k) for n, k in zip(names, key)], "image", F.col("image").isNull().alias("gone"), "at"))
 
@@ -79,8 +80,11 @@ def snapshot(rows: DataFrame) -> DataFrame:
                        F.lit(-1).cast("bigint").alias("pos"))
 
 
-def once(changes: DataFrame, identity: Sequence[str] = ("ts_ms", "pos")) -> DataFrame:
-    """Each change once, when the log may deliver it again (batch form)."""
+def once(changes: DataFrame, identity: Sequence[str] = ("ts_ms", "pos", "op")) -> DataFrame:
+    """Each change once, when the log may deliver it again (batch form).
+
+    The op keeps the two halves of an update apart; a stream of several tables needs the table in ``identity``.
+    """
     return changes.dropDuplicates(list(identity))
 
 

@@ -39,14 +39,14 @@ class JdbcTable:
     """``write`` has the form of the file table's, so either can be a pipeline's target."""
 
     def __init__(self, url: str, table: str, key: Sequence[str], properties: dict[str, str],
-                 partitions: int = 8, batch_rows: int = 5000):
+                 batch_rows: int = 5000):
         self.url, self.table, self.key = url, table, list(key)
-        self.properties, self.partitions, self.batch_rows = dict(properties), partitions, batch_rows
+        self.properties, self.batch_rows = dict(properties), batch_rows
 
     def write(self, batch: int, changes: DataFrame) -> None:
         rows = staged(changes, self.key)
         staging = f"{self.table}__staging"
-        (rows.coalesce(self.partitions).write.mode("overwrite").option("batchsize", self.batch_rows)
+        (rows.write.mode("overwrite").option("batchsize", self.batch_rows)
          .option("truncate", "true").jdbc(self.url, staging, properties=self.properties))
         columns = [c for c in rows.columns if c != GONE]
         self._run(changes.sparkSession, [delete_sql(self.table, staging, self.key),

@@ -14,6 +14,11 @@ from retally.sinks.batch_log import BatchLog
 _PLACE = T.StructType([T.StructField("ts_ms", T.LongType()), T.StructField("pos", T.LongType())])
 
 
+def _order():
+    """Place of a change; at one place the delete of an update comes before its insert."""
+    return F.struct("at", F.col("op") != "d")
+
+
 class KeyedTable:
     """A keyed table over files, written by change batches (before, after, op).
 
@@ -56,7 +61,7 @@ class KeyedTable:
             names = [f"_k_{k}" for k in self.key]
         else:
             stored, names = changed_keys(stored, self.key), [f"_k_{k}" for k in self.key]
-        last = F.max_by("after", "at")
+        last = F.max_by("after", _order())
         return stored.groupBy(*names).agg(last.alias("row")).where("row IS NOT NULL").select("row.*")
 
     def compact(self, upto: int, every: int) -> bool:
@@ -64,7 +69,7 @@ class KeyedTable:
             names = [f"_k_{k}" for k in self.key]
             lead = [f"_p_{p}" for p in self.cluster]
             last = changed_keys(stored, self.key).groupBy(*names, *lead).agg(
-                F.max_by("after", "at").alias("after"), F.max_by("before", "at").alias("before"), F.max("at").alias("at"))
+                F.max_by("after", _order()).alias("after"), F.max_by("before", _order()).alias("before"), F.max("at").alias("at"))
             gone = F.col("after").isNull()
             last = last if self.keep_deleted else last.where(~gone)
             return last.select(*lead, F.when(gone, F.col("before")).alias("before"), "after",

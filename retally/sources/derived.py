@@ -311,23 +311,11 @@ def select(spark: SparkSession, folder: str, sql: str) -> DataFrame:
     """Run a derivation over the tables of ``folder`` without leaving views behind."""
     text = dialect(sql, SPARK)
     used = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in TABLES if f" {t}" in text}
-    fact = next(t for t in ("lineitem", "orders", "events", "customer") if t in used)
-    used[fact] = spread(used[fact])
     for t in used:
         text = text.replace(f"FROM {t}", "FROM {" + t + "}").replace(f"JOIN {t}", "JOIN {" + t + "}")
     return spark.sql(text, **used)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share out a source that has fewer splits than there are cores.
-
-    The given tables are single files; at scale a scan has splits enough and
-    nothing is moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return select(spark, folder, ROWS[name])
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from retally.operators.changelog import last_changes, signed_rows
+from retally.operators.cleanse import masked
+from retally.plans.dimensions import SECRETS
 from retally.schemas import Table
 from retally.sinks.keyed_table import KeyedTable
 from retally.sources.envelope import decode_changes, of_table
@@ -29,18 +31,20 @@ def flows_of(lines: DataFrame, flows: Mapping[str, tuple[Table, Clean]]) -> dict
             for name, (table, clean) in flows.items()}
 
 
-def mirror_batch(target: KeyedTable, table: Table, prepare: Clean = lambda df: df,
+def mirror_batch(target: KeyedTable, table: Table, prepare: Clean = lambda df: masked(df, SECRETS),
                  compact_every: int = 50) -> Callable[[DataFrame, int], None]:
     """Keep a keyed table equal to its source: each batch is collapsed to the last image per key.
 
-    ``prepare`` shapes the image before it is stored (see ``masked``).
+    ``prepare`` shapes the image before it is stored; by default passwords are left out.  Columns
+    of the target that it leaves out are stored as null.
     """
     def each_batch(lines: DataFrame, batch: int) -> None:
         row = target.row
         last = last_changes(decode_changes(lines, table), table.key)
         none = F.lit(None).cast(row)
         stored = prepare(last.where("NOT gone").select("image.*", "at.*"))
-        put = stored.select(none.alias("before"), F.struct(*row.names).cast(row).alias("after"),
+        image = [F.col(c) if c in stored.columns else F.lit(None).cast(row[c].dataType).alias(c) for c in row.names]
+        put = stored.select(none.alias("before"), F.struct(*image).cast(row).alias("after"),
                             F.lit("u").alias("op"), "ts_ms", "pos")
         key_only = [F.col(c) if c in table.key else F.lit(None).cast(row[c].dataType).alias(c) for c in row.names]
         drop = last.where("gone").select(F.struct(*key_only).cast(row).alias("before"), none.alias("after"),

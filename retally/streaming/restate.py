@@ -26,21 +26,18 @@ from retally.sinks.batch_log import BatchLog
 from retally.sinks.keyed_table import KeyedTable, only_keys
 
 DAY = "statistic_time"
-MOST_DAYS = 1000        # days named in a scan filter; beyond it all days are read
 
 
-def _days(keys: DataFrame, column: str = DAY) -> list | None:
-    """The days a batch touched, or None when there are too many to name."""
-    days = [r[0] for r in keys.select(column).distinct().limit(MOST_DAYS + 1).collect()]
-    return days if len(days) <= MOST_DAYS else None
+def _days(keys: DataFrame, column: str = DAY) -> tuple:
+    """First and last day a batch touched, and whether it touched rows without a day."""
+    return tuple(keys.agg(F.min(column), F.max(column), F.coalesce(F.bool_or(F.col(column).isNull()), F.lit(False))).first())
 
 
-def _on(column: str, days: list | None) -> Column:
-    """Condition that lets the scan skip other days."""
-    if days is None:
-        return F.lit(True)
-    named = F.col(column).isin([d for d in days if d is not None])
-    return named | F.col(column).isNull() if None in days else named
+def _on(column: str, days: tuple) -> Column:
+    """Condition that lets the scan skip days outside the bounds; the join on the keys does the rest."""
+    first, last, without = days
+    within = F.col(column).between(F.lit(first), F.lit(last)) if first is not None else F.lit(False)
+    return within | F.col(column).isNull() if without else within
 
 
 class Report:
@@ -162,6 +159,8 @@ class Restatement:
                 while ready := [n for n in waiting if self.reports[n].agg.source in flows]:
                     waiting = [n for n in waiting if n not in ready]
                     flows.update(pool.map(inheritable_thread_target(self.spark)(one), ready))
+            if waiting:
+                raise KeyError(f"no input for {waiting}")
         finally:
             for df in held:
                 df.unpersist()

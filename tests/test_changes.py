@@ -64,6 +64,15 @@ def test_latest_image_goes_by_position_not_arrival(spark):
     assert [(r.id, r.n) for r in got] == [(1, Decimal(3))]
 
 
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_pairs_of_an_update_keep_their_order_however_they_are_dealt(spark, parts):
+    changes = decoded(spark, [line("u", image(i), image(i, n=str(i)), i) for i in range(20)])
+    text = E.encode_changes(changes, T).repartition(parts)
+    back = E.decode_changes(text, T)
+    assert {(r.id, int(r.n)) for r in C.current_rows(back, ["id"]).collect()} == {(i, i) for i in range(20)}
+    assert C.once(back.unionAll(back)).count() == 40
+
+
 def test_duplicates_are_told_by_position(spark):
     lines = [line("c", None, image(1), 1)] * 3
     assert C.signed_rows(C.once(decoded(spark, lines))).count() == 1

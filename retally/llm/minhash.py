@@ -83,7 +83,7 @@ def shingle_sets(docs: list[bytes], k: int) -> list[np.ndarray]:
     flat = np.array(hashes, np.uint64)
     with np.errstate(over="ignore"):
         rolled = np.full(max(0, len(flat) - k + 1), k, np.uint64)
-        for i in range(k):
+        for i in range(k if len(rolled) else 0):
             rolled = mixed(rolled * np.uint64(0x9E3779B97F4A7C15) + flat[i:len(flat) - k + 1 + i])
         out, at = [], 0
         for n in counts:

@@ -33,7 +33,7 @@ FORMS = {
     "iban": r"(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "card": r"(?<![\d+-])\d(?:[ -]?\d){12,18}(?![\d-])",
+    "card": r"(?<![\d+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\d-])",
     "phone": r"(?<![\p{L}\d+(])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}(?![\p{L}\d-])"
              r"|(?<![\p{L}\d])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\p{L}\d])",
     "person": rf"(?<!\p{{L}})(?:{TITLE})\.?\x20\p{{Lu}}\p{{Ll}}+(?:\x20\p{{Lu}}\p{{Ll}}+)?(?!\p{{L}})",
@@ -67,8 +67,8 @@ def _digits(text: Column) -> Column:
 
 def luhn(digits: Column) -> Column:
     """Sum modulo 10 of a digit string with every second digit from the right doubled."""
-    one = F.transform(_chars(F.reverse(digits)), lambda c, i: F.when(i % 2 == 0, c.cast("int")).otherwise(
-        F.floor(c.cast("int") * 2 / 10) + c.cast("int") * 2 % 10).cast("int"))
+    one = F.transform(_chars(F.reverse(digits)), lambda c, i: F.when(i % 2 == 0, c.try_cast("int")).otherwise(
+        F.floor(c.try_cast("int") * 2 / 10) + c.try_cast("int") * 2 % 10).cast("int"))
     return F.aggregate(one, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10
 
 

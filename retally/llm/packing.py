@@ -30,7 +30,9 @@ OPEN = 64
 SLACK = 8
 FAN_IN = 16
 #: Known words a worker keeps at hand; beyond it starts afresh.  Only speed depends on it.
-KNOWN = 300_000
+KNOWN = 500_000
+#: New words tokenized in one call, and the rare word between them.  Only speed depends on them.
+TOGETHER, MARK = 128, "^"
 
 COLUMNS = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long, open boolean, part long"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
@@ -47,29 +49,32 @@ class Words:
         self._tokenizer = Tokenizer.from_str(file)
         self._tokenizer.encode_special_tokens = True
         self._known: dict[bytes, bytes] = {}
-
-    def _split(self, word: bytes) -> tuple[bytes, bytes]:
-        """A word in lower case and the stops behind it; both stand alone in the tokenizer's splitting."""
-        stem = word.rstrip(b".,!?;:")
-        return (stem, word[len(stem):]) if stem[-1:].isalnum() else (word, b"")
+        mark = self._tokenizer.encode(MARK, add_special_tokens=False).ids
+        self._mark, self._between = mark[0] if len(mark) == 1 else -1, f" {MARK} "
+
+    def _single(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes()
+                for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _several(self, words: list[str]) -> list[bytes]:
+        """Words in one text with marks between them; where a word has the id of a mark itself, each word alone."""
+        ids = np.array(self._tokenizer.encode_batch_fast([self._between.join(words)], add_special_tokens=False)[0].ids, "<u4")
+        at = np.flatnonzero(ids == self._mark)
+        if len(at) != len(words) - 1:
+            return self._single(words)
+        data, at = ids.tobytes(), (4 * at).tolist()
+        return [data[start:end] for start, end in zip([0, *(x + 4 for x in at)], [*at, len(data)])]
 
     def encode(self, batch: list[bytes]) -> list[bytes]:
         known = self._known
         if len(known) > KNOWN:
             known.clear()
         split = [text.split() for text in batch]
-        new = {word for words in split for word in words if word not in known}
-        parts = {word: self._split(word.lower() if word.isascii() else word) for word in new}
-        bare = [w for w in {p for pair in parts.values() for p in pair} if w and w not in known]
-        for start in range(0, len(bare), 4096):
-            some = bare[start:start + 4096]
-            for word, e in zip(some, self._tokenizer.encode_batch_fast([w.decode() for w in some],
-                                                                       add_special_tokens=False)):
-                known[word] = np.array(e.ids, "<u4").tobytes()
-        known[b""] = b""
-        for word, (stem, stops) in parts.items():
-            known[word] = known[stem] + known[stops]
-        return [b"".join([known[word] for word in words]) for words in split]
+        new = list(set().union(*split).difference(known))
+        for start in range(0, len(new), TOGETHER):
+            some = new[start:start + TOGETHER]
+            known.update(zip(some, self._several([word.decode() for word in some])))
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 _LOADED: dict[str, Words] = {}

@@ -14,6 +14,7 @@ task ever holds more than the open windows of ``FAN_IN`` others.
 from __future__ import annotations
 
 import hashlib
+import json
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -29,10 +30,14 @@ from retally.llm.common import ready, slices, texts, workspace
 OPEN = 64
 SLACK = 8
 FAN_IN = 16
-#: Known words a worker keeps at hand; beyond it starts afresh.  Only speed depends on it.
+#: Known words after which a worker sets them aside and drops those set aside before.  Only speed depends on it.
 KNOWN = 500_000
 #: New words tokenized in one call, and the rare word between them.  Only speed depends on them.
 TOGETHER, MARK = 128, "^"
+#: A step of a normalizer without effect where white space is dropped.
+BLANKS = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+#: First byte of the marks (U+0300 to U+033F) that can join with an ASCII letter to one character.
+ACCENT = b"\xcc"
 
 COLUMNS = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long, open boolean, part long"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
@@ -46,9 +51,15 @@ class Words:
     """
 
     def __init__(self, file: str):
-        self._tokenizer = Tokenizer.from_str(file)
+        model = json.loads(file)
+        normalizer = model["normalizer"] or {}
+        steps = [s for s in normalizer.get("normalizers", [normalizer]) if s and s != BLANKS]
+        model["normalizer"] = {"type": "Sequence", "normalizers": steps}
+        self._tokenizer = Tokenizer.from_str(json.dumps(model))
         self._tokenizer.encode_special_tokens = True
+        self._lower = {"type": "Lowercase"} in steps
         self._known: dict[bytes, bytes] = {}
+        self._aside: dict[bytes, bytes] = {}
         mark = self._tokenizer.encode(MARK, add_special_tokens=False).ids
         self._mark, self._between = mark[0] if len(mark) == 1 else -1, f" {MARK} "
 
@@ -66,11 +77,15 @@ class Words:
         return [data[start:end] for start, end in zip([0, *(x + 4 for x in at)], [*at, len(data)])]
 
     def encode(self, batch: list[bytes]) -> list[bytes]:
-        known = self._known
-        if len(known) > KNOWN:
-            known.clear()
-        split = [text.split() for text in batch]
-        new = list(set().union(*split).difference(known))
+        if len(self._known) > KNOWN:
+            self._aside, self._known = self._known, {}
+        known, aside = self._known, self._aside
+        # a word has the ids of its lower case, unless an accent joins with one of the two cases only
+        split = [(text.lower() if self._lower and ACCENT not in text else text).split() for text in batch]
+        words = set().union(*split).difference(known)
+        again = [word for word in words if word in aside]
+        known.update(zip(again, map(aside.__getitem__, again)))
+        new = list(words.difference(again))
         for start in range(0, len(new), TOGETHER):
             some = new[start:start + TOGETHER]
             known.update(zip(some, self._several([word.decode() for word in some])))

@@ -80,6 +80,22 @@ def test_packing_keeps_every_id_once(spark, odd, none):
     assert packing.pack(odd, path).where("octet_length(ids) = 4").count() == 3 and packing.pack(none, path).count() == 0
 
 
+def test_words_equal_the_tokenizer(monkeypatch):
+    """Cases, accents that join with one case only, odd white space, marks in the text; also when known words are dropped."""
+    path = P.path("word_bpe_49k.json")
+    theirs = Tokenizer.from_file(path)
+    theirs.encode_special_tokens = True
+    ours = packing.Words(open(path, encoding="utf-8").read())
+    monkeypatch.setattr(packing, "KNOWN", 20)
+    rnd = random.Random(4)
+    pool = ["A", "b", "J\u030c", "j\u030c", "K\u0301", "\u212a", "\u0130", "I", "\u03a3", "'S", "'s", "^", " ^ ", "\u00a0", "\u3000",
+            "\x1c", "\x85", "\t", "\n", " ", "  ", "12", "<|endoftext|>", "\u0301", "\u0345", "\u1e9e", "日", "😀", "...", "É", "ing"]
+    for _ in range(400):
+        batch = ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 30))) for _ in range(3)]
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in ours.encode([t.encode() for t in batch])]
+        assert got == [theirs.encode(t, add_special_tokens=False).ids for t in batch], batch
+
+
 def test_language_model_and_held_out_accuracy(spark, odd, none, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     got = langid.identified(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()

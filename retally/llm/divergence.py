@@ -6,26 +6,35 @@ with the histograms of each language by the Jensen-Shannon distance (base 2, so
 that is closest counts.  A document with too few characters or words for a histogram
 is not judged by it.  Language histograms are counted over all documents with a language.
 
+The fewer words a document has, the further it is by chance, and one without any common word is only 0.5 away.
+So the limit for words is taken from the distances of all documents, by closest language and class of length: the
+median and ``SPREADS`` times its distance to the lowest tenth.  The lower side is not moved by what is to be found.
+
 Beside them stand plain counts of words, symbols, repeated lines and repeated word
 triples.  Words are ``[^\\x20\\x09-\\x0D]+``.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from retally.llm.common import ready, slices, texts
+from retally.llm.common import kept, ready, slices, texts, workspace
 
 #: Words of a language's histogram; its size does not grow with the corpus.
 COMMON = 200
 #: Shorter documents are not judged by their histograms.
-LEAST_CHARS, LEAST_WORDS = 200, 80
+LEAST_CHARS, LEAST_WORDS = 200, 50
 #: A document further than this from every language is not kept.
 FAR_CHARS, FAR_WORDS = 0.3, 0.6
+#: The nearer limit for words: spreads above the median, least spread, and documents a class of length must have.
+SPREADS, LEAST_SPREAD, LEAST_DOCS = 4, 0.02, 30
+#: Classes of length for each doubling, and how many there are; distances are counted in steps of 1 / ``STEPS``.
+PER_OCTAVE, LENGTHS, STEPS = 2, 64, 1000
 CLASSES = ("lower", "upper", "digit", "stop", "symbol", "space", "other_letter", "other")
 
 _CLASS = np.full(256, 7, np.int64)
@@ -95,14 +104,17 @@ class References:
     def of_chars(self, histogram: np.ndarray) -> float:
         return float(distance(histogram[None, :], self.chars).min())
 
-    def of_words(self, words: list[bytes]) -> float:
+    def of_words(self, words: list[bytes]) -> tuple[float, str | None]:
+        """Distance to the closest language, and which it is."""
         known = np.bincount([self.words.get(w, len(self.words)) for w in words], minlength=len(self.words) + 1)
-        best = 1.0
+        best, closest = 1.0, None
         for i, own in enumerate(self._own):
             ref = self._table[i]
             p, q = known[own].astype(float), ref[own]
-            best = min(best, float(distance(np.append(p, known.sum() - p.sum()), np.append(q, ref.sum() - q.sum()))))
-        return best
+            far = float(distance(np.append(p, known.sum() - p.sum()), np.append(q, ref.sum() - q.sum())))
+            if closest is None or far < best:
+                best, closest = far, self.langs[i]
+        return best, closest
 
 
 def learn(docs: DataFrame) -> References:
@@ -153,11 +165,39 @@ def repeated_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+def _length_class():
+    return F.least(F.floor(PER_OCTAVE * F.log2(F.col("n_words"))), F.lit(LENGTHS - 1)).cast("int")
+
+
+def limits(judged: DataFrame) -> dict[str, list[float]]:
+    """Per language the furthest word distance that is kept, by class of length.
+
+    Documents of one length and distance (copies) count once.  A class with too few documents has the limit of the
+    next shorter one, which is wider; without a shorter one it is ``FAR_WORDS``.
+    """
+    seen = judged.where("closest is not null").select("closest", "n_words", "word_distance").distinct()
+    steps = seen.groupBy("closest", _length_class().alias("length"), F.floor(F.col("word_distance") * STEPS).alias("step")).agg(
+        F.count("*").alias("n"))
+    whole = Window.partitionBy("closest", "length")
+    steps = steps.withColumn("upto", F.sum("n").over(whole.orderBy("step"))).withColumn("of", F.sum("n").over(whole))
+    first = lambda part: F.min(F.when(F.col("upto") >= part * F.col("of"), F.col("step"))) / STEPS
+    rows = steps.where(f"of >= {LEAST_DOCS}").groupBy("closest", "length").agg(
+        first(0.5).alias("middle"), first(0.1).alias("low")).collect()
+    known = {(r["closest"], r["length"]): r["middle"] + SPREADS * max(LEAST_SPREAD, r["middle"] - r["low"]) for r in rows}
+    out: dict[str, list[float]] = {}
+    for lang in {lang for lang, _ in known}:
+        last, out[lang] = FAR_WORDS, []
+        for length in range(LENGTHS):
+            last = min(FAR_WORDS, known.get((lang, length), last))
+            out[lang].append(last)
+    return out
+
+
 COLUMNS = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-           "char_distance double, word_distance double")
+           "char_distance double, word_distance double, closest string")
 _SCHEMA = pa.schema([("doc_id", pa.int64()), *[(c, pa.int64()) for c in (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
-    ("char_distance", pa.float64()), ("word_distance", pa.float64())])
+    ("char_distance", pa.float64()), ("word_distance", pa.float64()), ("closest", pa.string())])
 
 
 def judge(docs: DataFrame, references: References) -> DataFrame:
@@ -185,24 +225,28 @@ def judge(docs: DataFrame, references: References) -> DataFrame:
                 chars, points = None, int(histogram.sum())
                 if known.langs and points >= LEAST_CHARS:
                     chars = known.of_chars(histogram)
-                by_words = None
+                by_words = closest = None
                 if known.langs and len(words) >= LEAST_WORDS:
-                    by_words = known.of_words(text.lower().split())
-                rows.append((points - int(histogram[5]), int(_SYMBOL[raw].sum()), repeated_lines(text), chars, by_words))
+                    by_words, closest = known.of_words(text.lower().split())
+                rows.append((points - int(histogram[5]), int(_SYMBOL[raw].sum()), repeated_lines(text), chars, by_words,
+                             closest))
             document = np.repeat(np.arange(len(sizes)), sizes)
             repeats = repeated_words(np.array(flat, np.int64), document, len(sizes))
-            columns = list(zip(*rows)) if rows else [()] * 5
+            columns = list(zip(*rows)) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays([
                 batch.column(batch.schema.get_field_index("doc_id")), pa.array(sizes, pa.int64()),
                 pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()),
                 pa.array(repeats, pa.int64()), pa.array(columns[3], pa.float64()), pa.array(columns[4], pa.float64()),
+                pa.array(columns[5], pa.string()),
             ], schema=_SCHEMA)
 
-    judged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, COLUMNS)
+    judged = kept(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, COLUMNS),
+                  f"{workspace(spark, 'divergence')}/judged")
+    nearer = F.element_at(F.from_json(F.lit(json.dumps(limits(judged))), "map<string, array<double>>"), F.col("closest"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     far = (F.coalesce(F.col("char_distance") > FAR_CHARS, F.lit(False))
-           | F.coalesce(F.col("word_distance") > FAR_WORDS, F.lit(False)))
-    return judged.withColumn("base_failed", failed).withColumn("kept", ~failed & ~far)
+           | F.coalesce(F.col("word_distance") > F.coalesce(F.get(nearer, _length_class()), F.lit(FAR_WORDS)), F.lit(False)))
+    return judged.withColumn("base_failed", failed).withColumn("kept", ~failed & ~far).drop("closest")
 
 
 def quality(docs: DataFrame) -> DataFrame:

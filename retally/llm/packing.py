@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -47,11 +48,21 @@ _SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.b
 class Words:
     """Ids of texts by the words between ASCII white space, each tokenized once.
 
-    The tokenizer must drop white space and never join across it.
+    The tokenizer must drop white space and never join across it.  An added token in a text is its one id, as in
+    the tokenizer itself; with ``literal`` it is text like any other.
     """
 
-    def __init__(self, file: str):
+    def __init__(self, file: str, literal: bool = True):
         model = json.loads(file)
+        added = [] if literal else model["added_tokens"]
+        plain = not any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized"))
+        self._added = {t["content"].encode(): np.array([t["id"]], "<u4").tobytes() for t in added} if plain else {}
+        longest = sorted(self._added, key=len, reverse=True)
+        self._cut = re.compile(b"(" + b"|".join(map(re.escape, longest)) + b")")
+        # added tokens that look beside them, or at lower case, are left to the whole tokenizer
+        self._whole = None if plain else Tokenizer.from_str(file)
+        if not literal:
+            model["added_tokens"] = []
         normalizer = model["normalizer"] or {}
         steps = [s for s in normalizer.get("normalizers", [normalizer]) if s and s != BLANKS]
         model["normalizer"] = {"type": "Sequence", "normalizers": steps}
@@ -77,6 +88,14 @@ class Words:
         return [data[start:end] for start, end in zip([0, *(x + 4 for x in at)], [*at, len(data)])]
 
     def encode(self, batch: list[bytes]) -> list[bytes]:
+        if self._whole is not None:
+            return [np.array(self._whole.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes() for text in batch]
+        # added tokens are cut out of the text as it is, before anything is lower-cased or split
+        cut = [self._cut.split(text) if any(t in text for t in self._added) else [text] for text in batch]
+        ids = iter(self._encode([piece for pieces in cut for piece in pieces[::2]]))
+        return [b"".join([self._added[x] if i % 2 else next(ids) for i, x in enumerate(pieces)]) for pieces in cut]
+
+    def _encode(self, batch: list[bytes]) -> list[bytes]:
         if len(self._known) > KNOWN:
             self._aside, self._known = self._known, {}
         known, aside = self._known, self._aside
@@ -98,7 +117,7 @@ _LOADED: dict[str, Words] = {}
 def _loaded(name: str, data) -> Words:
     if name not in _LOADED:
         _LOADED.clear()
-        _LOADED[name] = Words(data.value)
+        _LOADED[name] = Words(data.value, literal=False)
     return _LOADED[name]
 
 

@@ -1,8 +1,13 @@
 """Cases in which an operator once did less than its whole job."""
 
 import random
+import zlib
 
-from retally.llm import divergence
+import numpy as np
+import public_tokenizers as P
+from tokenizers import Tokenizer
+
+from retally.llm import divergence, packing
 
 
 def test_documents_without_common_words_are_not_kept(spark):
@@ -23,3 +28,20 @@ def test_documents_without_common_words_are_not_kept(spark):
     got = {r.doc_id: r for r in divergence.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert max(got[i].word_distance for i in junk) < divergence.FAR_WORDS and not any(got[i].base_failed for i in junk)
     assert not [i for i in junk if got[i].kept] and not [i for i in good if not got[i].kept]
+
+
+def test_added_tokens_in_a_text_are_one_id(spark):
+    path = P.path("word_bpe_49k.json")
+    theirs = Tokenizer.from_file(path)
+    ours = packing.Words(open(path, encoding="utf-8").read(), literal=False)
+    rnd = random.Random(6)
+    pool = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<|", "|>", "A", "b", "J\u030c", "\u030c", "^", " ^ ", "'S",
+            "\u00a0", "\t", "\n", " ", "12", "\u0301", "\u212a", "É", "ing"]
+    batches = [["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 20))) for _ in range(3)] for _ in range(300)]
+    for batch in batches:
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in ours.encode([t.encode() for t in batch])]
+        assert got == [theirs.encode(t, add_special_tokens=False).ids for t in batch], batch
+    rows = [(0, "end <|endoftext|> start"), (1, "END<|endoftext|><|startoftext|>START"), (2, "plain")]
+    for r in packing.digests(packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), path, width=64)).collect():
+        ids = np.array(theirs.encode(rows[r.doc_id][1], add_special_tokens=False).ids + [1], "<u4")
+        assert (r.start, r.length, r.doc_tokens, r.ids_crc32) == (0, len(ids), len(ids), zlib.crc32(ids.tobytes()))

@@ -118,8 +118,10 @@ def candidate(kind: Column, value: Column, trait: Column, key: str, attempt: int
     """The surrogate an attempt proposes for a canonical value."""
     code = F.sha2(F.concat_ws("|", F.lit(key), kind, value, trait, F.lit(str(attempt))), 256)
     pick = lambda i, letters: F.substring(F.lit(letters), (_number(code, i, len(letters)) + 1).cast("int"), F.lit(1))
-    # with many attempts a short value gets longer: its own forms are used up
+    # with many attempts a value gets longer, as its own forms are used up: mail by the attempt, names by a syllable for
+    # every two, telephone and social security numbers by a digit for every four, after a draw over all first digits
     longer = F.lit("" if attempt < 8 else str(attempt))
+    wide, more = attempt >= 4, max(0, attempt - 4) // 4
     same_shape = lambda text: F.array_join(F.transform(_chars(text), lambda c, i: F.when(
         F.regexp_like(c, F.lit("[0-9]")), pick(i, "0123456789")).when(F.regexp_like(c, F.lit("[A-Z]")), pick(
             i, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")).when(F.regexp_like(c, F.lit("[a-z]")), pick(
@@ -131,21 +133,22 @@ def candidate(kind: Column, value: Column, trait: Column, key: str, attempt: int
     digits = _digits(value)
     rest = F.length(digits) - F.length(trait)
     drawn = lambda n: F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(
-        i == 0, (_number(code, i, 8) + 2).cast("string")).otherwise(pick(i, "0123456789"))), "")
+        (i == 0) & F.lit(not wide), (_number(code, i, 8) + 2).cast("string")).otherwise(pick(i, "0123456789"))), "")
     unchecked = F.concat(trait, drawn(F.length(digits) - 2))
     check = ((10 - luhn(F.concat(unchecked, F.lit("0")))) % 10).cast("string")
     name = F.lit(None).cast("string")
     for (script, gender), ending in ENDINGS.items():
         syllables = F.array(*[F.lit(s) for s in SYLLABLES[script].split()])
         count = len(SYLLABLES[script].split())
-        stem = F.concat(*[F.element_at(syllables, (_number(code, F.lit(i), count) + 1).cast("int")) for i in range(3)])
+        stem = F.concat(*[F.element_at(syllables, (_number(code, F.lit(i), count) + 1).cast("int"))
+                          for i in range(3 + attempt // 2)])
         end = F.when(kind == "given", F.lit(ending)).otherwise(F.lit(ENDINGS[script, "n"]))
         name = F.when(trait == f"{script}:{gender}", F.concat(stem, end)).otherwise(name)
     return (F.when(kind == "email", F.concat(same_shape(local), longer, F.lit("@"), house))
             .when(kind == "ip", F.concat_ws(".", octet(0, 11, 224), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 255)))
-            .when(kind == "phone", F.concat(F.when(value.startswith("+"), "+").otherwise(""), trait, drawn(rest)))
+            .when(kind == "phone", F.concat(F.when(value.startswith("+"), "+").otherwise(""), trait, drawn(rest + more)))
             .when(kind == "card", F.concat(unchecked, check))
-            .when(kind == "ssn", F.concat(F.lit("9"), drawn(F.lit(8))))
+            .when(kind == "ssn", F.concat(F.lit("9"), drawn(F.lit(8 + more))))
             .when(kind == "iban", F.concat(trait, same_shape(F.substring(value, 3, 100))))
             .otherwise(name))
 
@@ -170,12 +173,13 @@ def surrogates(entities: DataFrame, key: str, home: str) -> DataFrame:
 
 
 def _rendered(match: Column, kind: Column, surrogate: Column) -> Column:
-    """A surrogate in the format of the match: its spaces, brackets and case."""
+    """A surrogate in the format of the match: its spaces, brackets and case; what a longer one has more comes last."""
     bare = F.regexp_replace(surrogate, "[^A-Za-z0-9]", "")
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("n"))
     filled = F.aggregate(_chars(match), start, lambda a, c: F.when(F.regexp_like(c, F.lit("[A-Za-z0-9]")), F.struct(
         F.concat(a["out"], F.substring(bare, a["n"] + 1, F.lit(1))).alias("out"), (a["n"] + 1).alias("n"))).otherwise(
-        F.struct(F.concat(a["out"], c).alias("out"), a["n"].alias("n"))))["out"]
+        F.struct(F.concat(a["out"], c).alias("out"), a["n"].alias("n"))), lambda a: F.concat(
+            a["out"], F.substring(bare, a["n"] + 1, F.length(bare))))
     upper = F.regexp_like(match, F.lit("^[^a-z]*$")) & F.regexp_like(match, F.lit("[A-Z]"))
     mail = F.when(upper, F.upper(surrogate)).otherwise(surrogate)
     return F.when(kind == "email", mail).when(kind == "ip", surrogate).otherwise(filled)

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers as P
 from tokenizers import Tokenizer
 
-from retally.llm import divergence, packing
+from retally.llm import divergence, packing, surrogates
 
 
 def test_documents_without_common_words_are_not_kept(spark):
@@ -45,3 +45,14 @@ def test_added_tokens_in_a_text_are_one_id(spark):
     for r in packing.digests(packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), path, width=64)).collect():
         ids = np.array(theirs.encode(rows[r.doc_id][1], add_special_tokens=False).ids + [1], "<u4")
         assert (r.start, r.length, r.doc_tokens, r.ids_crc32) == (0, len(ids), len(ids), zlib.crc32(ids.tobytes()))
+
+
+def test_more_names_and_numbers_than_short_surrogates(spark):
+    rows = spark.range(70_000).selectExpr("'family' kind", "concat('name', id) value", "'latin:n' trait").unionAll(
+        spark.range(9_000).selectExpr("'phone' kind", "concat('+123', lpad(id, 4, '0')) value", "'123' trait"))
+    home = surrogates.workspace(spark, "many")
+    got = surrogates.surrogates(rows, "k", home)
+    assert got.select("kind", "surrogate").distinct().count() == got.count() == 79_000
+    assert got.join(rows.select("kind", rows.value.alias("surrogate")), ["kind", "surrogate"]).count() == 0
+    longer = spark.range(1).select(surrogates._rendered(*map(surrogates.F.lit, ("+123 45 67", "phone", "+12398765")))).first()[0]
+    assert longer == "+123 98 765"

@@ -25,7 +25,11 @@ from retally.llm.common import kept, workspace
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Г-жа|Κυρία"
 MALE = "Mr|Sir|Herr|Monsieur|Señor|Sr|Г-н|Κύριος"
 NEUTRAL = "Dr|Prof"
+FEMALE, MALE, NEUTRAL = f"{FEMALE}|{FEMALE.upper()}|ΚΥΡΙΑ", f"{MALE}|{MALE.upper()}|ΚΥΡΙΟΣ", f"{NEUTRAL}|{NEUTRAL.upper()}"
 TITLE = f"{FEMALE}|{MALE}|{NEUTRAL}"
+#: A part of a name: initials, or a word with inner capitals, hyphens and apostrophes (that of a genitive is not its own).
+PART = (r"(?:\p{Lu}(?:\.(?:-?\p{Lu}\.)*+|(?=\x20\p{Lu}))"
+        r"|\p{Lu}(?:[\p{L}\p{M}]++|(?=['’]\p{Lu}\p{L}))(?:['’]\p{Lu}[\p{L}\p{M}]++|-\p{L}[\p{L}\p{M}]++)*+)")
 
 #: Entity forms in the order they are tried at one place.
 FORMS = {
@@ -36,7 +40,8 @@ FORMS = {
     "card": r"(?<![\d+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\d-])",
     "phone": r"(?<![\p{L}\d+(])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}(?![\p{L}\d-])"
              r"|(?<![\p{L}\d])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\p{L}\d])",
-    "person": rf"(?<!\p{{L}})(?:{TITLE})\.?\x20\p{{Lu}}\p{{Ll}}+(?:\x20\p{{Lu}}\p{{Ll}}+)?(?!\p{{L}})",
+    # MS without a dot is a company
+    "person": rf"(?<!\p{{L}})(?!MS\x20)(?:{TITLE})\.?\x20{PART}(?:\x20{PART})*(?!\p{{L}})",
 }
 ANY = "|".join(f"(?:{form})" for form in FORMS.values())
 KINDS = (*FORMS, "given", "family")
@@ -107,9 +112,9 @@ def mentions(docs: DataFrame) -> DataFrame:
         F.regexp_like(title, F.lit(f"^(?:{MALE})$")), "m").otherwise("n")
     people = found.where("kind = 'person'").select("rid", "i", "match", gender.alias("gender"), F.posexplode(names).alias("j", "name"),
                                                    F.size(names).alias("parts"))
-    given = (F.col("parts") == 2) & (F.col("j") == 0)
+    given = F.col("j") < F.col("parts") - 1
     people = people.select("rid", "i", "j", "match", F.when(given, "given").otherwise("family").alias("kind"),
-                           F.lower("name").alias("value"), F.concat_ws(":", _script(F.col("name")), F.when(
+                           F.translate(F.lower("name"), "’", "'").alias("value"), F.concat_ws(":", _script(F.col("name")), F.when(
                                given, F.col("gender")).otherwise("n")).alias("trait"))
     return plain.unionByName(people)
 
@@ -204,8 +209,8 @@ def replaced(docs: DataFrame, key: str) -> DataFrame:
     table = surrogates(entities, key, home)
     told = found.join(table, ["kind", "value"])
     titled = F.regexp_extract("match", rf"^((?:{TITLE})\.?\x20)", 1)
-    text = F.when(F.col("kind").isin("given", "family"), F.concat(F.when(F.col("j") == 0, titled).otherwise(" "), F.initcap(
-        "surrogate"))).otherwise(_rendered(F.col("match"), F.col("kind"), F.col("surrogate")))
+    text = F.when(F.col("kind").isin("given", "family"), F.concat(F.when(F.col("j") == 0, titled).otherwise(" "), F.when(
+        F.regexp_like("match", F.lit(r"\p{Ll}")), F.initcap("surrogate")).otherwise(F.upper("surrogate")))).otherwise(_rendered(F.col("match"), F.col("kind"), F.col("surrogate")))
     counted = F.when(F.col("kind").isin("given", "family"), "person").otherwise(F.col("kind"))
     parts = told.groupBy("rid", "i").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("j", text.alias("s")))),
                                                                   lambda x: x["s"]), "").alias("s"), F.min(counted).alias("kind"))

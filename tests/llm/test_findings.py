@@ -1,6 +1,7 @@
 """Cases in which an operator once did less than its whole job."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -56,3 +57,19 @@ def test_more_names_and_numbers_than_short_surrogates(spark):
     assert got.join(rows.select("kind", rows.value.alias("surrogate")), ["kind", "surrogate"]).count() == 0
     longer = spark.range(1).select(surrogates._rendered(*map(surrogates.F.lit, ("+123 45 67", "phone", "+12398765")))).first()[0]
     assert longer == "+123 98 765"
+
+
+def test_whole_names_behind_titles_are_replaced(spark):
+    texts = ["Mr. John Ronald Smith met Mr. Smith", "Mr. John McDonald slept", "Mrs. Anne-Marie Weber ran", "Mr. O'Brien and Mr. O’Brien sat",
+             "Dr. J. Smith sat", "MR. SMITH, SAID", "Mr. J.-P. Smith's car", "MS Word and MR. SMITH's word", "Prof. J R Smith"]
+    got = [r.text for r in surrogates.replaced(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k")
+           .orderBy("doc_id").collect()]
+    name = r"[A-Z][a-z]+"
+    forms = [rf"Mr\. {name}rdo {name}rdo ({name}ren) met Mr\. ({name}ren)", rf"Mr\. {name}rdo ({name}ren) slept", rf"Mrs\. {name}lia {name}ren ran",
+             rf"Mr\. ({name}ren) and Mr\. ({name}ren) sat", rf"Dr\. {name}ren ({name}ren) sat", r"MR\. ([A-Z]+REN), SAID",
+             rf"Mr\. {name}rdo ({name}ren)'s car", r"MS Word and MR\. ([A-Z]+REN)'s word", rf"Prof\. {name}ren {name}ren ({name}ren)"]
+    found = [re.fullmatch(form, text) for form, text in zip(forms, got)]
+    assert all(found), got
+    smith = found[0].group(1)
+    assert {smith} == {found[0].group(2), found[4].group(1), found[6].group(1), found[7].group(1).capitalize(), found[8].group(1)}
+    assert found[3].group(1) == found[3].group(2) != smith

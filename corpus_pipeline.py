@@ -44,7 +44,8 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Language models, tokenizers and byte positions have no SQL; tests/llm holds the rows against a brute-force version.
+#: Language models, tokenizers and byte positions have no SQL.  Of run() itself tests/llm looks only at columns, the share of
+#: rows each stage keeps and the ids after packing; no brute-force version of the five stages holds its rows.
 ORACLE_SQL = None
 
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retally.llm import (blob_ledger, bpe, divergence, langid, lattice, minhash, packing, repeats, sql, surrogates,
-                         warc)
+from retally.llm import (blob_ledger, bpe, divergence, langid, lattice, minhash, negatives, packing, pivots, repeats, sql,
+                         stripes, surrogates, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: Key of the surrogates in the registered query; a user passes an own one.
@@ -33,6 +33,15 @@ def _replaced(docs: DataFrame) -> DataFrame:
         F.element_at("kinds", kind).alias(f"n_{kind}") for kind in surrogates.FORMS])
 
 
+def _nearest(vectors: DataFrame) -> DataFrame:
+    return pivots.top_scores(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+def _mined(vectors: DataFrame) -> DataFrame:
+    moved = vectors.withColumn("label", F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"))
+    return negatives.hard_negatives(moved, vectors.where("vec_id % 100 = 0"))
+
+
 def build() -> dict[str, Query]:
     return {
         "op1_packing": _over("documents", _packed),
@@ -45,6 +54,9 @@ def build() -> dict[str, Query]:
         "op8_lattice": _over("embeddings", lattice.near_duplicates),
         "op9_divergence": _over("documents", divergence.quality),
         "op10_run_length_index": _over("documents", lambda docs: repeats.digests(repeats.without_repeats(docs))),
+        "op11_pivot_table": _over("embeddings", _nearest),
+        "op12_stripes": _over("documents", stripes.divergences),
+        "op13_one_bit_codes": _over("embeddings", _mined),
         "pipeline": _pipeline,
     }
 
@@ -56,4 +68,5 @@ def _pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def oracle() -> dict[str, str]:
-    return {"op4_minhash": sql.MINHASH, "op6_secrets": sql.secrets(), "op7_warc": sql.WARC, "op8_lattice": sql.LATTICE}
+    return {"op4_minhash": sql.MINHASH, "op6_secrets": sql.secrets(), "op7_warc": sql.WARC, "op8_lattice": sql.LATTICE,
+            "op11_pivot_table": sql.TOP_SCORES, "op12_stripes": sql.STRIPES, "op13_one_bit_codes": sql.NEGATIVES}

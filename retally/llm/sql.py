@@ -72,6 +72,81 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 're
 FROM digits JOIN last USING (payload_digest)
 """
 
+_WHOLE = """
+fine AS (
+  SELECT * FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+)
+"""
+
+TOP_SCORES = f"""
+WITH {_WHOLE},
+v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM fine),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+WHERE rank <= 20
+"""
+
+NEGATIVES = f"""
+WITH {_WHOLE},
+v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM fine WHERE label IS NOT NULL
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+),
+positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+STRIPES = """
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+),
+hit AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+known AS (SELECT lang, term, count(*) AS n FROM hit GROUP BY lang, term HAVING count(DISTINCT d) >= 30),
+cell AS (SELECT h.lang, h.source, h.term, count(*) AS n FROM hit h JOIN known k ON h.lang = k.lang AND h.term = k.term GROUP BY ALL),
+vocabulary AS (SELECT lang, count(*) AS v, sum(n) AS n FROM known GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM docs),
+size AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM grp g LEFT JOIN cell c ON g.lang = c.lang AND g.source = c.source GROUP BY ALL),
+p AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+         (1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (s.n + 5 * v.v)::HUGEINT)::BIGINT AS p,
+         (1 + 1000000000::HUGEINT * (k.n + 5) // (v.n + 5 * v.v)::HUGEINT)::BIGINT AS q
+  FROM size s JOIN vocabulary v ON s.lang = v.lang JOIN known k ON k.lang = s.lang
+  LEFT JOIN cell c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+told AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q
+)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM told QUALIFY part = 'pair' OR rank <= 50
+"""
+
 
 def secrets() -> str:
     quoted = lambda pattern: "'" + pattern.replace("'", "''") + "'"

@@ -2,47 +2,82 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from retally.llm.common import kept
+from retally.llm.common import kept, ready
+
+#: Links a task unites at once; only memory depends on it.
+AT_ONCE = 2_000_000
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stars with the same components as the links: every node but the smallest of a component, and that smallest one."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = place[:len(a)], place[len(a):]
+    root = np.arange(len(nodes))
+    while True:
+        x, y = root[left], root[right]
+        if (x == y).all():
+            break
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+    tied = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[tied], nodes[root[tied]]
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
 
+    def stars() -> pa.RecordBatch:
+        columns = forest(*(np.concatenate([np.asarray(batch.column(i)) for batch in held]) for i in (0, 1)))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
 
-def _both(edges: DataFrame) -> DataFrame:
-    return edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(
-        edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= AT_ONCE:
+            yield stars()
+            held, size = [], 0
+    if size:
+        yield stars()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Each node ties its larger neighbours to the smallest node it sees (itself included)."""
-    both = _both(edges)
-    least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
+def _gathered(edges: DataFrame) -> DataFrame:
+    """Links united in the tasks that hold them, then by their larger node: few links of one node are left to meet in a task."""
+    united = lambda df: df.mapInArrow(_united, "a long, b long")
+    return united(united(edges).repartition("a"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Each node ties itself and its smaller neighbours to the smallest of them."""
-    down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    tied = down.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
-    return tied.unionAll(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+def _unsettled(state: DataFrame) -> DataFrame:
+    """Nodes with two parents, or with a parent and children."""
+    ends = state.select(F.col("a").alias("id"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionAll(
+        state.select(F.col("b").alias("id"), F.lit(0).alias("child"), F.lit(1).alias("parent")))
+    return ends.groupBy("id").agg(F.sum("child").alias("child"), F.max("parent").alias("parent")).where("child > 1 OR (child > 0 AND parent > 0)")
 
 
 def components(edges: DataFrame, folder: str) -> DataFrame:
     """``(id, component)`` for every node of ``edges(a, b)``: the smallest node it reaches.
 
-    Alternating large and small stars: every round is joins and minima, so no node's
-    neighbours are ever gathered in one place; the number of rounds grows with the
-    logarithm of the longest path.  Each round is a written table.  Loops, repeated
-    edges and either direction are fine; nodes without an edge to another do not appear.
+    Every link points from a larger node to a smaller one.  Tasks replace the links they hold by stars, first where the links are,
+    then dealt out by the larger node, so a node's many links are few before they meet, and the many links to one small node
+    are never gathered.  Where a star's centre has a link itself, links skip it (to its least parent) and the tasks unite
+    again.  Each step lowers ends of links, so it comes to an end: when only separate stars are left, they are the components.
+    Each step is a written table.  Loops, repeated edges and either direction are fine; nodes without an edge to another
+    do not appear.
     """
-    edges = edges.where("a is not null and b is not null and a <> b")
-    state = kept(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{folder}/0")
-    mark = None
-    for number in range(1, 200):
-        facts = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if facts == mark or not facts[0]:
-            return state.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(
-                state.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
-        mark = facts
-        state = kept(_small_star(_large_star(state)).distinct(), f"{folder}/{number}")
-    raise RuntimeError("components did not settle")
+    ready(edges.sparkSession)
+    edges = edges.where("a is not null and b is not null and a <> b").select(
+        F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b"))
+    state, number = kept(_gathered(edges), f"{folder}/0"), 0
+    while not _unsettled(state).isEmpty():
+        number += 1
+        parent = state.groupBy("a").agg(F.min("b").alias("c")).withColumnRenamed("a", "b")
+        skipped = state.join(parent.hint("merge"), "b", "left").select("a", F.coalesce("c", "b").alias("b"))
+        state = kept(_gathered(skipped), f"{folder}/{number}")
+    return state.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(
+        state.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())

@@ -192,12 +192,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     profile = kept(docs.mapInArrow(_profile(k, width), "doc_id long, n long, set_key binary, bands array<long>, signs binary"),
                    f"{home}/profile")
-    classes = profile.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("cls"))
+    classes = kept(profile.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("cls")), f"{home}/classes")
     # one row per class and band; buckets with one class hold no pair
-    head = profile.join(classes.select(F.col("cls").alias("doc_id")), "doc_id", "left_semi")
+    head = profile.join(classes.select(F.col("cls").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
     member = head.select(F.explode("bands").alias("key"), F.col("doc_id").alias("cls"), "n").distinct()
     shared = member.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    member = kept(member.join(shared, "key"), f"{home}/member")
+    member = kept(member.join(shared.hint("merge"), "key"), f"{home}/member")
     signs = head.select(F.col("doc_id").alias("cls"), "signs").dropDuplicates(["cls"])
     wanted = member.select(F.col("cls").alias("doc_id")).distinct()
     sets = kept(docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -208,29 +208,31 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     group = member.select("cls").distinct().withColumn("component", F.col("cls"))
     links, seen = None, None
     for number in range(PIVOT_ROUNDS):
-        placed = member.join(group, "cls")
+        placed = member.join(group.hint("merge"), "cls")
         pivot = placed.groupBy("key").agg(F.min(F.struct(
             F.xxhash64("key", "cls", F.lit(number)), F.col("cls").alias("b"), F.col("n").alias("nb"),
             F.col("component").alias("cb"))).alias("p")).select("key", "p.b", "p.nb", "p.cb")
-        pairs = placed.join(pivot, "key").where("component <> cb").select(
+        pairs = placed.join(pivot.hint("merge"), "key").where("component <> cb").select(
             F.least("cls", "b").alias("a"), F.greatest("cls", "b").alias("b"), F.col("n").alias("na"), "nb").where(sized)
         pairs = pairs.select("a", "b").distinct()
         if seen is not None:
-            pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
+            pairs = pairs.join(seen.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
         found = kept(_verified(pairs, sets), f"{home}/round-{number}")
         seen = found if seen is None else seen.unionAll(found)
         links = seen.where(link).select("a", "b")
         joined = components(links, f"{home}/components-{number}")
-        group = member.select(F.col("cls").alias("id")).distinct().join(joined, "id", "left").select(
+        group = member.select(F.col("cls").alias("id")).distinct().join(joined.hint("merge"), "id", "left").select(
             F.col("id").alias("cls"), F.coalesce("component", "id").alias("component"))
         group = kept(group, f"{home}/group-{number}")
 
     links = links.unionAll(kept(_rest(member, group, signs, sets, width, percent, home), f"{home}/rest"))
     joined = components(links, f"{home}/components")
-    of_class = classes.join(joined.select(F.col("id").alias("cls"), "component"), "cls", "left").select(
+    of_class = classes.join(joined.select(F.col("id").alias("cls"), "component").hint("merge"), "cls", "left").select(
         "set_key", F.coalesce("component", "cls").alias("component"))
-    return profile.select("doc_id", "n", "set_key").join(of_class, "set_key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")).withColumn(
+    # documents without a set link with nothing; their null keys stay out of the join
+    told = profile.where("set_key is not null").select("doc_id", "n", "set_key").join(of_class.hint("merge"), "set_key").select(
+        "doc_id", "n", "component").unionAll(profile.where("set_key is null").select("doc_id", "n", "doc_id"))
+    return told.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id")).withColumn(
         "kept", F.col("doc_id") == F.col("component_id"))
 
 
@@ -305,9 +307,9 @@ def _paired(placed: DataFrame, payload: DataFrame, width: int, percent: int) ->
     in blocks of both, so a crowded key is spread over many tasks."""
     stats = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                       F.count("*").alias("all")).where("lo < hi")
-    placed = placed.join(stats, "key")
+    placed = placed.join(stats.hint("merge"), "key")
     others = placed.groupBy("key").agg(F.sum((F.col("component") != F.col("lo")).cast("long")).alias("others"))
-    placed = placed.join(others, "key").select(
+    placed = placed.join(others.hint("merge"), "key").select(
         "key", "cls", "n", "component", (F.col("component") != F.col("lo")).alias("is_other"),
         F.ceil(F.col("others") / BLOCK).cast("long").alias("ps"), F.ceil(F.col("all") / BLOCK).cast("long").alias("qs"))
     salt, columns = F.xxhash64("cls", "key"), ("key", "cls", "n", "component")
@@ -315,7 +317,7 @@ def _paired(placed: DataFrame, payload: DataFrame, width: int, percent: int) ->
                                            F.lit(True).alias("left"), F.lit(False).alias("right"))
     right = placed.select(*columns, F.explode(F.expr("sequence(0L, ps - 1)")).alias("p"), F.pmod(salt, "qs").alias("q"),
                           F.lit(False).alias("left"), F.lit(True).alias("right"))
-    rows = left.unionAll(right).join(payload, "cls").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+    rows = left.unionAll(right).join(payload.hint("merge"), "cls").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
     return rows.mapInArrow(_blocks(width * ROWS, percent), "a long, b long")
 
 
@@ -326,9 +328,9 @@ def _rest(member: DataFrame, group: DataFrame, signs: DataFrame, sets: DataFrame
     Buckets overlap a lot, so signatures first tell which members may be linked at all; clusters of these are then compared on
     their full sets, which travel once per block of a cluster.
     """
-    placed = member.join(group, "cls")
+    placed = member.join(group.hint("merge"), "cls")
     maybe = kept(_paired(placed, signs, width, percent).distinct(), f"{home}/maybe")
     cluster = components(maybe, f"{home}/clusters").select(F.col("id").alias("cls"), F.col("component").alias("key"))
     sizes = member.select("cls", "n").distinct()
-    placed = cluster.join(sizes, "cls").join(group, "cls").select("key", "cls", "n", "component")
-    return _paired(placed, signs.join(sets, "cls"), width, percent)
+    placed = cluster.join(sizes.hint("merge"), "cls").join(group.hint("merge"), "cls").select("key", "cls", "n", "component")
+    return _paired(placed, signs.join(sets.hint("merge"), "cls"), width, percent)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from checks import streams
 from retally import schemas as S
 from retally.operators import changelog as C
 from retally.operators import cleanse as P
@@ -14,12 +14,8 @@ from retally.operators import conform, joins
 from retally.operators.aggregate import Aggregate, summarise, summarise_signed
 from retally.plans import batch, dimensions, reports as R
 from retally.sources import derived as D
-from retally.session import SETTINGS
-from retally.sinks.batch_log import workspace
-from retally.sinks.keyed_table import KeyedTable
 from retally.sources import envelope as E
-from retally.streaming import native, pipeline
-from retally.streaming.restate import OrderPayments, Restatement
+from retally.streaming import native
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,104 +120,6 @@ def _retract_finance(spark: SparkSession, folder: str) -> DataFrame:
     return summarise_signed(joins.orders_with_payments(orders, payments), R.WITHDRAW_FINANCE_DAY)
 
 
-# --- streams: the given tables read as a stream, to the end, then the resulting table ---
-
-def _stream(spark: SparkSession, folder: str, story: str) -> DataFrame:
-    """Changes of a table derived from events, as a stream."""
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    raw = spark.readStream.schema(schema).parquet(f"{folder}/events.parque[t]")
-    rows = raw.selectExpr("*", f"{D.SPARK['K']} AS k", f"{D.SPARK['ISO']} AS iso")
-    return D.STORIES[story].changes(rows)
-
-
-def _finish(query) -> None:
-    """Wait for the end; a failed query raises."""
-    query.awaitTermination()
-
-
-def _restated(wanted: Aggregate, *aggregates: Aggregate) -> Query:
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        home = workspace(spark, f"retally-{uuid.uuid4().hex}")
-        sample = P.clean_games(spark.createDataFrame([], S.GAME_RECORD.struct))
-        state = Restatement(spark, f"{home}/state", aggregates, {"games": sample})
-        flows = {"games": (S.GAME_RECORD, P.clean_games)}
-        lines = E.encode_changes(_stream(spark, folder, "game_record"), S.GAME_RECORD)
-        _finish(pipeline.run(lines, lambda df, b: state.process(b, pipeline.flows_of(df, flows)), f"{home}/checkpoint"))
-        return state.current(wanted.name)
-
-    return query
-
-
-def _stream_running(spark: SparkSession, folder: str) -> DataFrame:
-    """All-time player totals as one streaming aggregation in update mode."""
-    home = workspace(spark, f"retally-{uuid.uuid4().hex}")
-    signed = P.clean_games(C.signed_rows(_stream(spark, folder, "game_record")))
-    totals = native.running(signed, R.PLAYER_TOTAL_OF_GAMES)
-    row = T.StructType([f for f in totals.schema if f.name != "op"])
-    table = KeyedTable(spark, f"{home}/table", row, R.PLAYER_TOTAL.key_names)
-    writer = totals.writeStream.outputMode("update").foreachBatch(pipeline.upsert_batch(table))
-    _finish(writer.option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start())
-    return table.current()
-
-
-def _stream_distinct(spark: SparkSession, folder: str) -> DataFrame:
-    """Players per channel and day with reference counts in keyed state."""
-    home = workspace(spark, f"retally-{uuid.uuid4().hex}")
-    keys = ["statistic_time", "channel_id"]
-    signed = P.clean_games(C.signed_rows(_stream(spark, folder, "game_record")))
-    pieces = native.distinct_heads(signed, keys, "user_id")
-    table = KeyedTable(spark, f"{home}/table", pieces.schema, [*keys, native.SALT])
-    put = pipeline.upsert_batch(table, lambda df: df.withColumn("op", F.lit("u")))
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, SETTINGS[provider])
-    try:
-        writer = pieces.writeStream.outputMode("update").foreachBatch(put)
-        _finish(writer.option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(provider, before) if before else spark.conf.unset(provider)
-    return native.heads_of_pieces(table.current(), keys).withColumnRenamed("heads", "user_count")
-
-
-def _stream_mirror(spark: SparkSession, folder: str) -> DataFrame:
-    """The device relation mirrored from its change stream."""
-    home = workspace(spark, f"retally-{uuid.uuid4().hex}")
-    table = KeyedTable(spark, f"{home}/table", S.DEVICE_USERS.struct, S.DEVICE_USERS.key, keep_deleted=True)
-    lines = E.encode_changes(_stream(spark, folder, "device_users"), S.DEVICE_USERS)
-    _finish(pipeline.run(lines, pipeline.mirror_batch(table, S.DEVICE_USERS), f"{home}/checkpoint"))
-    return table.current()
-
-
-def _order_stream(spark: SparkSession, folder: str, story: str) -> DataFrame:
-    schema = spark.read.parquet(f"{folder}/orders.parquet").schema
-    orders = spark.readStream.schema(schema).parquet(f"{folder}/orders.parque[t]")
-    customers = spark.read.parquet(f"{folder}/customer.parquet")
-    return D.STORIES[story].changes(orders.join(customers, F.col("o_custkey") == F.col("c_custkey")))
-
-
-def _stream_finance(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders and payment tries in one stream, joined change by change."""
-    home = workspace(spark, f"retally-{uuid.uuid4().hex}")
-    lines = None
-    for story in ("withdraw_order", "payment_order"):
-        text = E.encode_changes(_order_stream(spark, folder, story), D.STORIES[story].table)
-        lines = text if lines is None else lines.unionByName(text)
-    orders, payments = S.WITHDRAW_ORDER.only(P.WITHDRAWAL_COLUMNS), S.PAYMENT_ORDER.only(joins.PAYMENT_COLUMNS)
-    flows = {"withdrawals": (orders, P.clean_withdrawals), "payments": (payments, lambda df: df)}
-    shape = {n: clean(spark.createDataFrame([], t.struct)) for n, (t, clean) in flows.items()}
-    pairs = OrderPayments(spark, f"{home}/state", shape["withdrawals"], shape["payments"])
-    joined = joins.orders_with_payments(shape["withdrawals"], shape["payments"])
-    state = Restatement(spark, f"{home}/state", [R.WITHDRAW_FINANCE_DAY], {R.WITHDRAW_FINANCE_DAY.source: joined})
-
-    def each(batch: DataFrame, number: int) -> None:
-        part = pipeline.flows_of(batch, flows)
-        state.process(number, {R.WITHDRAW_FINANCE_DAY.source: pairs.restate(number, part["withdrawals"], part["payments"])})
-        pairs.tidy(number)
-
-    _finish(pipeline.run(lines, each, f"{home}/checkpoint"))
-    return state.current(R.WITHDRAW_FINANCE_DAY.name)
-
-
 def _windows(event_type: str, width: str) -> Query:
     return lambda s, f: native.per_window(
         s.read.parquet(f"{f}/events.parquet").where(F.col("event_type") == event_type), "ts", width)
@@ -237,13 +135,7 @@ def _device_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 def _corrupt_events(spark: SparkSession, folder: str) -> DataFrame:
     """Event text cut short now and then: the broken lines are told apart, the rest is read."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    rows = D.rows(spark, folder, "online_event")
-    text = E.encode_events(rows, F.regexp_extract("token", r"t(\d+)", 1))
-    number = F.regexp_extract("value", r'^\{"key":"(\d+)"', 1).cast("bigint")
-    ip = F.regexp_extract("value", r'"ip":"10\.0\.0\.(\d+)"', 1).cast("int")
-    lines = text.select(number.alias("event_id"), F.when(ip % 7 == 0, F.expr("left(value, length(value) - 3)"))
-                        .otherwise(F.col("value")).alias("value"))
+    lines = streams.broken_lines(spark, folder)
     good, broken = E.split_corrupt(E.decode_events(lines, S.ONLINE_EVENT, keep_corrupt=True, also=["event_id"]))
     return good.select("event_id", F.col("jsonData.user_id").alias("user_id"), F.lit(False).alias("corrupt")).unionByName(
         broken.select("event_id", F.lit(None).cast("bigint").alias("user_id"), F.lit(True).alias("corrupt")))
@@ -301,10 +193,7 @@ def build() -> dict[str, Query]:
                                           P.WITHDRAWAL_COLUMNS),
         "retract_withdraw_finance": _retract_finance,
         "ads_user_game_total_of_games": _report(R.PLAYER_TOTAL_OF_GAMES),
-        "stream_channel_game": _restated(R.CHANNEL_GAME_DAY, R.CHANNEL_GAME_DAY),
-        "stream_user_game_total": _restated(R.PLAYER_TOTAL, R.USER_GAME_DAY, R.PLAYER_TOTAL),
-        "stream_running_total": _stream_running, "stream_channel_distinct": _stream_distinct,
-        "stream_mirror": _stream_mirror, "stream_withdraw_finance": _stream_finance,
+        **streams.build(),
         "window_login_1m": _windows("signup", "1 minute"), "window_order_1h": _windows("purchase", "1 hour"),
         "corrupt_events": _corrupt_events, "not_null_key": _not_null_key,
         **{f"dim_{name}": _dimension(name) for name in S.DIMENSIONS},

@@ -36,6 +36,15 @@ def signed_rows(changes: DataFrame) -> DataFrame:
     return rows.select("i.row.*", f"i.{SIGN}", "i.row_kind", *(["_order"] if order is not None else []))
 
 
+def as_changes(signed: DataFrame) -> DataFrame:
+    """Signed rows with their place as changes again: an image that came is inserted, one that went is deleted."""
+    columns = [c for c in signed.columns if c not in (SIGN, "row_kind", "_order")]
+    came = F.col(SIGN) > 0
+    row = F.struct(*columns)
+    return signed.select(F.when(~came, row).alias("before"), F.when(came, row).alias("after"),
+                         F.when(came, "c").otherwise("d").alias("op"), "_order.*")
+
+
 def net_rows(signed: DataFrame) -> DataFrame:
     """Equal images added up; what came and went again is gone."""
     columns = [c for c in signed.columns if c not in (SIGN, "row_kind", "_order")]

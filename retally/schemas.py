@@ -45,6 +45,11 @@ class Table:
         return T.StructType.fromDDL(self.ddl)
 
 
+def table_of(name: str, key: tuple[str, ...], struct: T.StructType) -> Table:
+    """The table of a frame's rows, so that they can be written as change text and read back."""
+    return Table(name, key, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in struct))
+
+
 # --- fixed values: column lists of the source tables -------------------------
 
 GAME_RECORD = Table("game_record", ("id",), """

@@ -57,6 +57,10 @@ class BatchLog:
             return self.spark.createDataFrame([], self._stored)
         return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
+    def done(self, batch: int) -> bool:
+        """Whether a batch was written to its end."""
+        return self._has(f"{self.path}/part/{BATCH}={batch}/_SUCCESS")
+
     def one(self, batch: int) -> DataFrame:
         return self._load("part", [batch])
 
@@ -88,6 +92,11 @@ class BatchLog:
         return (self.spark.read.schema(self._stored).option("basePath", root)
                 .parquet(*[f"{root}/{BATCH}={b}" for b in batches]))
 
+    def _has(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(path)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
     def _finished(self, kind: str) -> list[int]:
         """Batches whose write was committed."""
         jvm = self.spark.sparkContext._jvm

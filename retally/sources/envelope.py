@@ -78,12 +78,12 @@ def of_table(lines: DataFrame, name: str, column: str = "value") -> DataFrame:
     return lines.where(F.get_json_object(column, "$.source.table") == name)
 
 
-def encode_changes(changes: DataFrame, table: Table, replace_updates: bool = True) -> DataFrame:
+def encode_changes(changes: DataFrame, table: Table, replace_updates: bool = True, also: Sequence[str] = ()) -> DataFrame:
     """(before, after, op, ...) -> one text column ``value``.
 
     With ``replace_updates`` an update is written as a delete of the old image
     followed by an insert of the new one, which every reader of the envelope
-    understands without knowing the key.
+    understands without knowing the key.  Columns named in ``also`` stay beside it.
     """
     before, after = F.col("before"), F.col("after")
     nothing = F.lit(None).cast(table.struct)
@@ -98,9 +98,9 @@ def encode_changes(changes: DataFrame, table: Table, replace_updates: bool = Tru
     extra = [F.col("ts_ms")] if "ts_ms" in changes.columns else []
     if "pos" in changes.columns:
         extra.append(F.struct(F.lit(table.name).alias("table"), F.col("pos")).alias("source"))
-    rows = changes.select(F.explode(whole).alias("c"), *extra)
+    rows = changes.select(F.explode(whole).alias("c"), *extra, *also)
     return rows.select(F.to_json(F.struct("c.*", *[c for c in ("ts_ms", "source") if c in rows.columns]),
-                                 {"timestampNTZFormat": _STAMP}).alias("value"))
+                                 {"timestampNTZFormat": _STAMP}).alias("value"), *also)
 
 
 def encode_events(rows: DataFrame, key: str | Column, kind: str = "insert") -> DataFrame:

@@ -45,6 +45,42 @@ def sharded(spark: SparkSession, table: Table, folder: str, pattern: str, format
     return rows.select(*table.names, shard.alias(SHARD))
 
 
+def shard_lines(spark: SparkSession, folder: str, pattern: str, files_per_batch: int | None = None) -> DataFrame:
+    """Stream of the lines of all shards (``game_record_*``), columns ``value`` and the shard.
+
+    Folders are looked for in every batch, so a shard that appears while the stream runs is read from its beginning.
+    Decode with ``also=[SHARD]``; columns a shard lacks come out as null.
+    """
+    reader = spark.readStream.schema("value STRING")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    lines = reader.text(f"{folder}/{pattern}")
+    return lines.select("value", F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+$", 1).alias(SHARD))
+
+
+def with_shard(changes: DataFrame) -> DataFrame:
+    """Changes whose images hold the shard, which makes it part of the key: shards may use the same numbers."""
+    image = lambda c: F.when(F.col(c).isNotNull(), F.struct(f"{c}.*", SHARD)).alias(c)
+    return changes.select(image("before"), image("after"), *[c for c in changes.columns if c not in ("before", "after", SHARD)])
+
+
+def write_once(lines: DataFrame, folder: str, batch: int) -> None:
+    """The lines (column ``value``) of one batch, for another stream to read from ``folder``.
+
+    They are written aside and appear as a whole, by a rename; a batch that runs again finds its folder there and writes
+    nothing, so the reader, which knows files by name, sees every line once.
+    """
+    spark = lines.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    done = path(f"{folder}/batch={batch}")
+    files = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(done):
+        return
+    lines.select("value").write.mode("overwrite").text(f"{folder}/_staged/batch={batch}")
+    if not files.rename(path(f"{folder}/_staged/batch={batch}"), done):
+        raise OSError(f"could not move batch {batch} into {folder}")
+
+
 def write_lines(lines: DataFrame, folder: str) -> None:
     """Append encoded lines (column ``value``) to a folder another stream reads."""
     lines.select("value").write.mode("append").text(folder)

@@ -3,7 +3,7 @@
 ``running``          sums and counts: one streaming aggregation in update mode.
 ``distinct_heads``   distinct counts with reference counts in keyed state, with
                      an optional time to live.
-``per_window``       counts per time window, bounded by a watermark.
+``per_window``       counts per time window, bounded by a watermark; ``closed_windows`` each once.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from retally.operators.aggregate import ROWS, SIGN, Aggregate, deltas, finished_deltas
 
@@ -108,6 +108,20 @@ def heads_of_pieces(pieces: DataFrame, keys: Sequence[str]) -> DataFrame:
     return pieces.groupBy(*keys).agg(F.sum("heads").alias("heads")).where("heads > 0")
 
 
+def closed_windows(rows: DataFrame, column: str, width: str, lateness: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Windows of a stream, each once, when no row of it is expected any more (append mode).
+
+    The watermark is the latest time seen in earlier batches less ``lateness``.  Rows of windows that ended before
+    it are left out; ``late_rows`` counts them.
+    """
+    return per_window(bounded(rows, column, lateness), column, width, keys)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows a query has dropped as late so far (those of one window and task that were added up before count as one)."""
+    return sum(operator.numRowsDroppedByWatermark for progress in query.recentProgress for operator in progress.stateOperators)
+
+
 def per_window(df: DataFrame, column: str, width: str, keys: Sequence[str] = ()) -> DataFrame:
     """Rows per tumbling window (logins per minute, orders per hour); batch or stream.
 

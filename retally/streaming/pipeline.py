@@ -7,14 +7,16 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from retally.operators.changelog import last_changes, signed_rows
+from retally.operators.changelog import as_changes, changed_keys, last_changes, signed_rows, snapshot
 from retally.operators.cleanse import masked
 from retally.plans.dimensions import SECRETS
 from retally.schemas import Table
 from retally.sinks.keyed_table import KeyedTable
-from retally.sources.envelope import decode_changes, of_table
+from retally.sources.envelope import decode_changes, of_table, split_corrupt
 
 Clean = Callable[[DataFrame], DataFrame]
+#: Number of the batch that holds a table's snapshot.
+SNAPSHOT = -1
 
 
 def run(stream: DataFrame, each_batch: Callable[[DataFrame, int], None], checkpoint: str,
@@ -32,21 +34,24 @@ def flows_of(lines: DataFrame, flows: Mapping[str, tuple[Table, Clean]]) -> dict
 
 
 def mirror_batch(target: KeyedTable, table: Table, prepare: Clean = lambda df: masked(df, SECRETS),
-                 compact_every: int = 50) -> Callable[[DataFrame, int], None]:
+                 compact_every: int = 50, decode: Clean | None = None) -> Callable[[DataFrame, int], None]:
     """Keep a keyed table equal to its source: each batch is collapsed to the last image per key.
 
     ``prepare`` shapes the image before it is stored; by default passwords are left out.  Columns
-    of the target that it leaves out are stored as null.
+    of the target that it leaves out are stored as null.  ``decode`` makes changes of the batch where it is not
+    plain change text of ``table``.  The target's key tells rows apart.
     """
+    decode = decode or (lambda lines: decode_changes(lines, table))
+
     def each_batch(lines: DataFrame, batch: int) -> None:
         row = target.row
-        last = last_changes(decode_changes(lines, table), table.key)
+        last = last_changes(decode(lines), target.key)
         none = F.lit(None).cast(row)
         stored = prepare(last.where("NOT gone").select("image.*", "at.*"))
         image = [F.col(c) if c in stored.columns else F.lit(None).cast(row[c].dataType).alias(c) for c in row.names]
         put = stored.select(none.alias("before"), F.struct(*image).cast(row).alias("after"),
                             F.lit("u").alias("op"), "ts_ms", "pos")
-        key_only = [F.col(c) if c in table.key else F.lit(None).cast(row[c].dataType).alias(c) for c in row.names]
+        key_only = [F.col(c) if c in target.key else F.lit(None).cast(row[c].dataType).alias(c) for c in row.names]
         drop = last.where("gone").select(F.struct(*key_only).cast(row).alias("before"), none.alias("after"),
                                          F.lit("d").alias("op"), "at.*")
         target.write(batch, put.unionByName(drop))
@@ -55,6 +60,60 @@ def mirror_batch(target: KeyedTable, table: Table, prepare: Clean = lambda df: m
     return each_batch
 
 
+def detail_batch(target: KeyedTable, prepare: Clean) -> Callable[[int, DataFrame], None]:
+    """Keep a keyed table of rows, each shaped by ``prepare``, from the signed rows of batches."""
+    def write(batch: int, rows: DataFrame) -> None:
+        target.write(batch, _last_image(as_changes(prepare(rows)), target))
+
+    return write
+
+
+def _last_image(changes: DataFrame, target: KeyedTable) -> DataFrame:
+    """The last change of every key of a batch."""
+    place = F.struct(F.struct("ts_ms", "pos"), F.col("op") != "d")
+    keyed = changed_keys(changes, target.key)
+    last = keyed.groupBy(*[f"_k_{k}" for k in target.key]).agg(F.max_by(F.struct(*changes.columns), place).alias("c"))
+    return last.select("c.*")
+
+
+def take_snapshot(target: KeyedTable, rows: DataFrame, at: int) -> None:
+    """Fill a table from a snapshot that was taken when the log stood at position ``at``.
+
+    It is stored as the batch before the first one, at that position, and only if it is not there yet.
+    """
+    if target.log.done(SNAPSHOT):
+        return
+    place = F.lit(at).cast("bigint")
+    target.write(SNAPSHOT, snapshot(rows).withColumn("ts_ms", place).withColumn("pos", place))
+
+
+def after_snapshot(changes: DataFrame, at: int, position: str = "ts_ms") -> DataFrame:
+    """The changes a snapshot at position ``at`` does not have yet.
+
+    The stream may start anywhere before the snapshot: what lies up to it is dropped, also inserts of rows that were
+    deleted again before the snapshot, which nothing in the table would hold back.
+    """
+    return changes.where(F.col(position) > at)
+
+
+def split_batch(good: Callable[[DataFrame, int], None], broken: Callable[[DataFrame, int], None],
+                decode: Clean) -> Callable[[DataFrame, int], None]:
+    """One decode of a batch (with ``keep_corrupt``), its rows to one target and its broken lines to another.
+
+    Both targets own the batch, so the two belong together however often it runs.
+    """
+    def each_batch(lines: DataFrame, batch: int) -> None:
+        decoded = decode(lines).persist()
+        try:
+            rows, aside = split_corrupt(decoded)
+            good(rows, batch)
+            broken(aside, batch)
+        finally:
+            decoded.unpersist()
+
+    return each_batch
+
+
 def upsert_batch(target: KeyedTable, each: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
     """Write the rows of an update-mode aggregate (columns of the target and ``op``) to a keyed table."""
     def each_batch(rows: DataFrame, batch: int) -> None:

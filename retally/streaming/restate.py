@@ -28,16 +28,28 @@ from retally.sinks.keyed_table import KeyedTable, only_keys
 DAY = "statistic_time"
 
 
-def _days(keys: DataFrame, column: str = DAY) -> tuple:
-    """First and last day a batch touched, and whether it touched rows without a day."""
-    return tuple(keys.agg(F.min(column), F.max(column), F.coalesce(F.bool_or(F.col(column).isNull()), F.lit(False))).first())
+#: Ranges of days a scan is asked for at most; the join on the keys does the rest.
+RANGES = 16
 
 
-def _on(column: str, days: tuple) -> Column:
-    """Condition that lets the scan skip days outside the bounds; the join on the keys does the rest."""
-    first, last, without = days
-    within = F.col(column).between(F.lit(first), F.lit(last)) if first is not None else F.lit(False)
-    return within | F.col(column).isNull() if without else within
+def touched_days(keys: DataFrame, column: str = DAY) -> tuple[list[tuple], bool]:
+    """Ranges of days that hold the days of a batch, and whether it touched rows without a day.
+
+    One row of last year among those of today gives two ranges, not a year: only the smallest gaps are closed.
+    """
+    found, without = keys.agg(F.sort_array(F.collect_set(column)), F.coalesce(F.bool_or(F.col(column).isNull()), F.lit(False))).first()
+    cuts = sorted(range(1, len(found)), key=lambda i: found[i] - found[i - 1], reverse=True)[:RANGES - 1]
+    edges = [0, *sorted(i for i in cuts if (found[i] - found[i - 1]).days > 1), len(found)]
+    return [(found[a], found[b - 1]) for a, b in zip(edges[:-1], edges[1:]) if a < b], without
+
+
+def on_days(column: str, days: tuple[list[tuple], bool]) -> Column:
+    """Condition that lets the scan skip other days."""
+    ranges, without = days
+    within = F.col(column).isNull() if without else F.lit(False)
+    for first, last in ranges:
+        within = within | F.col(column).between(F.lit(first), F.lit(last))
+    return within
 
 
 class Report:
@@ -49,11 +61,13 @@ class Report:
         daily = [DAY] if DAY in agg.key_names else []
         empty = sample.withColumn(SIGN, F.lit(1))
         parts = deltas(empty, agg)
-        self.parts = BatchLog(spark, f"{home}/{agg.name}/partials", _nullable(parts.schema), daily)
-        self.table = KeyedTable(spark, f"{home}/{agg.name}/table", _nullable(settle(parts, agg).schema), agg.key_names, daily)
+        self.parts = BatchLog(spark, f"{home}/{agg.name}/partials", nullable(parts.schema), daily)
+        self.table = KeyedTable(spark, f"{home}/{agg.name}/table", nullable(settle(parts, agg).schema), agg.key_names, daily)
 
     def restate(self, batch: int, signed: DataFrame) -> DataFrame:
-        """Take a batch in; returns the changes of the report."""
+        """Take a batch in; returns the changes of the report.  A batch it has already is not taken again."""
+        if self.table.log.done(batch):
+            return self.table.changes(batch)
         keys = self.agg.key_names
         self.parts.write(batch, deltas(signed, self.agg))
         fresh = self.parts.one(batch).drop("batch")
@@ -61,8 +75,8 @@ class Report:
         stored = self.parts.read(before=batch).drop("batch")
         prune = None
         if DAY in keys:
-            days = _days(touched)
-            stored, prune = stored.where(_on(DAY, days)), _on(f"_p_{DAY}", days)
+            days = touched_days(touched)
+            stored, prune = stored.where(on_days(DAY, days)), on_days(f"_p_{DAY}", days)
         after = settle(only_keys(stored, touched).unionByName(fresh), self.agg)
         before = self.table.current(batch, touched, prune)
         self.table.write(batch, changes_between(before, after, keys))
@@ -86,17 +100,17 @@ class OrderPayments:
         day = lambda df: df.withColumn("_day", F.to_date("update_time"))
         self._day = day
         lean = net_rows(day(orders.withColumn(SIGN, F.lit(1))))
-        self.orders = BatchLog(spark, f"{home}/withdrawals_with_payments/orders", _nullable(lean.schema), ["_day"])
+        self.orders = BatchLog(spark, f"{home}/withdrawals_with_payments/orders", nullable(lean.schema), ["_day"])
         tries = net_rows(day(payments.withColumn(SIGN, F.lit(1))))
-        self.payments = BatchLog(spark, f"{home}/withdrawals_with_payments/payments", _nullable(tries.schema), ["_day"])
+        self.payments = BatchLog(spark, f"{home}/withdrawals_with_payments/payments", nullable(tries.schema), ["_day"])
 
     def restate(self, batch: int, orders: DataFrame, payments: DataFrame) -> DataFrame:
         self.orders.write(batch, net_rows(self._day(_bare(orders))))
         self.payments.write(batch, net_rows(self._day(_bare(payments.where(
             F.col("order_status").isin(*joins.PAYMENT_DONE))))))
         new_orders, new_payments = self.orders.one(batch), self.payments.one(batch)
-        old_orders = self.orders.read(batch).where(_on("_day", _days(new_payments, "_day")))
-        old_payments = self.payments.read(batch).where(_on("_day", _days(new_orders, "_day")))
+        old_orders = self.orders.read(batch).where(on_days("_day", touched_days(new_payments, "_day")))
+        old_payments = self.payments.read(batch).where(on_days("_day", touched_days(new_orders, "_day")))
         all_payments = old_payments.unionByName(new_payments)
         return joins.orders_with_payments(new_orders, all_payments).unionByName(
             joins.orders_with_payments(old_orders, new_payments))
@@ -111,7 +125,7 @@ def _bare(signed: DataFrame) -> DataFrame:
     return signed.drop("row_kind", "_order")
 
 
-def _nullable(schema: T.StructType) -> T.StructType:
+def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
 

@@ -11,7 +11,7 @@ from retally import schemas as S
 from retally.operators import changelog as C
 from retally.operators import cleanse as P
 from retally.operators import conform, joins
-from retally.operators.aggregate import Aggregate, summarise, summarise_signed
+from retally.operators.aggregate import Aggregate, summarise, summarise_signed, summarise_whole
 from retally.plans import batch, dimensions, reports as R
 from retally.sources import derived as D
 from retally.sources import envelope as E
@@ -117,7 +117,7 @@ def _latest_version(spark: SparkSession, folder: str) -> DataFrame:
 def _retract_finance(spark: SparkSession, folder: str) -> DataFrame:
     orders = P.clean_withdrawals(_signed(spark, folder, "withdraw_order", P.WITHDRAWAL_COLUMNS))
     payments = _signed(spark, folder, "payment_order", joins.PAYMENT_COLUMNS)
-    return summarise_signed(joins.orders_with_payments(orders, payments), R.WITHDRAW_FINANCE_DAY)
+    return summarise_whole(joins.orders_with_payments(orders, payments), R.WITHDRAW_FINANCE_DAY)
 
 
 def _windows(event_type: str, width: str) -> Query:
@@ -185,8 +185,8 @@ def build() -> dict[str, Query]:
         "changelog_signed": _changelog_signed, "changelog_filter": _changelog_filter,
         "changelog_replace": _changelog_replace, "changelog_split": _changelog_split,
         "latest_image": _latest_image, "latest_image_of_pairs": _latest_image_of_pairs, "latest_version": _latest_version,
-        "retract_user_game_day": _retract("game_record", P.clean_games, R.USER_GAME_DAY),
-        "retract_channel_game": _retract("game_record", P.clean_games, R.CHANNEL_GAME_DAY),
+        "retract_user_game_day": _retract("game_record", P.clean_games, R.USER_GAME_DAY, P.GAME_COLUMNS),
+        "retract_channel_game": _retract("game_record", P.clean_games, R.CHANNEL_GAME_DAY, P.GAME_COLUMNS),
         "retract_user_adjust": _retract("amount_operation", P.clean_amount_operations, R.USER_ADJUST_DAY,
                                         P.AMOUNT_OPERATION_FEED),
         "retract_user_withdraw": _retract("withdraw_order", P.clean_withdrawals, R.USER_WITHDRAW_DAY,

@@ -90,6 +90,17 @@ def summarise_signed(signed: DataFrame, agg: Aggregate) -> DataFrame:
     return _finish(part, agg, signed=True)
 
 
+def summarise_whole(signed: DataFrame, agg: Aggregate) -> DataFrame:
+    """The aggregate of a change stream that is there as a whole, from its first change on.
+
+    Equal images are added up first: what came and went again cancels before anything is counted, and the rows
+    that are left are the current table, to be summarised as any other.
+    """
+    used = [c for c in signed.columns if c not in (SIGN, "row_kind", "_order")]
+    left = signed.groupBy(*used).agg(F.sum(SIGN).alias(SIGN)).where(F.col(SIGN) > 0)
+    return summarise(left.select(*used, F.explode(F.sequence(F.lit(1), SIGN))).select(*used), agg)
+
+
 def deltas(signed: DataFrame, agg: Aggregate) -> DataFrame:
     """Addable partials of some signed rows (column ``_sign`` is +1 or -1)."""
     return _partials(signed, agg, signed=True)

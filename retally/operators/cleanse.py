@@ -87,15 +87,17 @@ def _dated(df: DataFrame, columns: list[str], condition: str) -> DataFrame:
 _SPLITS = ["deposit", "withdrawal", "bonus"]
 
 
+GAME_COLUMNS = [
+    "user_id", "channel_id", "game_id", "game_category_id", "third_platform_provider_type", "id", "order_no",
+    "bet_amount", "settle_amount", "transfer_amount", *[f"bet_{s}_amount" for s in _SPLITS],
+    "effective_bet_flag", *[f"settle_{s}_amount" for s in _SPLITS], *[f"transfer_{s}_amount" for s in _SPLITS],
+    "valid_bet_amount", *[f"valid_bet_{s}_amount" for s in _SPLITS], "status", "update_time"]
+
+
 def clean_games(df: DataFrame) -> DataFrame:
-    amounts = ["bet_amount", "settle_amount", "transfer_amount", *[f"bet_{s}_amount" for s in _SPLITS],
-               "effective_bet_flag", *[f"settle_{s}_amount" for s in _SPLITS],
-               *[f"transfer_{s}_amount" for s in _SPLITS],
-               "valid_bet_amount", *[f"valid_bet_{s}_amount" for s in _SPLITS]]
+    """Settled games; parse change text with ``GAME_RECORD.only(GAME_COLUMNS)``."""
     return _dated(
-        df,
-        [X.hour_of("update_time").alias("statistic_hour"), "user_id", "channel_id", "game_id",
-         "game_category_id", "third_platform_provider_type", "id", "order_no", *amounts, "status", "update_time"],
+        df, [X.hour_of("update_time").alias("statistic_hour"), *GAME_COLUMNS],
         "status = 'settle' AND order_no IS NOT NULL AND update_time IS NOT NULL")
 
 

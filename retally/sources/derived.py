@@ -321,5 +321,7 @@ def rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def story_changes(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Changes of a table, dealt out by key as a topic with as many partitions as a shuffle has."""
     story = STORIES[name]
-    return story.changes(select(spark, folder, f"SELECT * FROM {story.source}"))
+    rows = select(spark, folder, f"SELECT * FROM {story.source}")
+    return story.changes(rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.expr(story.ident)))

@@ -13,12 +13,13 @@ and do not overlap within a kind: the text between them comes from ``split``, th
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from retally.llm.common import kept, workspace
+from retally.llm.common import kept, unused, workspace
 
 
 @dataclass(frozen=True)
@@ -97,10 +98,10 @@ class Ledger:
         keyed = versions.select("path", blob_of("text").alias("blob"), "text")
         seen = self.rows().select("blob", F.explode("rules").alias("rule")).groupBy("blob").agg(
             F.collect_set("rule").alias("seen"))
-        # one path stands for a blob; only its text is scanned
+        # one path stands for a blob; only its text is scanned.  What a scan that failed had asked for is left behind
         asked = keyed.groupBy("blob").agg(F.min("path").alias("path")).join(seen, "blob", "left").select(
             "blob", "path", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>"))).alias("rules"))
-        asked = kept(asked.where("size(rules) > 0"), f"{self.path}-asked/{self._last + 1}")
+        asked = kept(asked.where("size(rules) > 0"), f"{self.path}-asked/{self._last + 1}-{uuid.uuid4().hex}")
         work = keyed.join(asked.hint("shuffle_hash"), (keyed.path.eqNullSafe(asked.path)) & (keyed.blob == asked.blob)).select(
             asked.blob, "rules", "text")
         parts = [F.when(F.array_contains("rules", r.name), spans_of(F.col("text"), r, i)).otherwise(
@@ -124,23 +125,30 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def found_secrets(docs: DataFrame, ledger: Ledger | None = None) -> DataFrame:
-    """Every row of ``docs(doc_id, text, ...)`` with its findings in ``_spans``.
+def found_secrets(docs: DataFrame, spans: str = "_spans", ledger: Ledger | None = None) -> DataFrame:
+    """Every row of ``docs(doc_id, text, ...)`` with its findings in the new column ``spans``.
 
     The empty and the null text have no spans.  Repeated rows, null ids and copies get the findings of
-    their blob; an empty table gives no rows.  Other columns pass through.
+    their blob; an empty table gives no rows.  Other columns pass through, whatever their names.
     """
     ledger = ledger or Ledger(docs.sparkSession, workspace(docs.sparkSession, "ledger"))
     ledger.scan(docs.select(F.col("doc_id").alias("path"), "text"))
-    found = ledger.findings().select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    return docs.withColumn("_blob", blob_of("text")).join(found, "_blob", "left").withColumn(
-        "_spans", F.coalesce("_spans", F.array().cast(f"array<{SPAN}>"))).drop("_blob")
+    (blob,) = unused(docs, "_blob")
+    found = ledger.findings().select(F.col("blob").alias(blob), F.col("spans").alias(spans))
+    return docs.withColumn(blob, blob_of("text")).join(found, blob, "left").withColumn(
+        spans, F.coalesce(spans, F.array().cast(f"array<{SPAN}>"))).drop(blob)
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """Counts and digests of the findings per document."""
+def digests(docs: DataFrame, batches: int = 2) -> DataFrame:
+    """Counts and digests of the findings per document.
+
+    The documents come as ``batches`` versions of the corpus, dealt by a hash of the id: a later one scans only the blobs that
+    no earlier one had.  Null texts are empty, null ids and repeated rows are rows; an empty table gives no rows.
+    """
     ledger = Ledger(docs.sparkSession, workspace(docs.sparkSession, "ledger"))
-    ledger.scan(docs.select(F.col("doc_id").alias("path"), "text"))
+    batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
+    for number in range(batches):
+        ledger.scan(docs.where(batch == number).select(F.col("doc_id").alias("path"), "text"))
     # only ids and addresses travel to the findings
     told = docs.select("doc_id", blob_of("text").alias("blob")).join(ledger.findings(), "blob", "left").select(
         "doc_id", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
@@ -156,12 +164,13 @@ def _count(kind: str) -> Column:
 
 def without_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns) with every secret in ``text`` replaced by a mark, and ``n_chars`` to match."""
-    found = found_secrets(docs)
-    clean = redacted(F.col("text"), F.col("_spans"))
+    (spans,) = unused(docs, "_spans")
+    found = found_secrets(docs, spans)
+    clean = redacted(F.col("text"), F.col(spans))
     new = {"text": clean}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        new["n_chars"] = F.when(F.size("_spans") == 0, F.col("n_chars")).otherwise(F.char_length(clean).cast(kind))
+        new["n_chars"] = F.when(F.size(spans) == 0, F.col("n_chars")).otherwise(F.char_length(clean).cast(kind))
     return found.withColumns(new).select(*docs.columns)
 
 

@@ -37,6 +37,13 @@ def kept(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, made longer where ``df`` has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    longer = lambda name: name if name.lower() not in taken else longer(f"{name}_")
+    return [longer(name) for name in names]
+
+
 def ready(spark: SparkSession) -> None:
     """Let Python workers of a session that was started elsewhere import this package, keep Arrow batches small and free disk early.
 

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from retally.llm.common import kept, mixed, ready, texts, workspace
+from retally.llm.common import kept, mixed, ready, texts, unused, workspace
 
 LENGTH = 50
 GRAM, LONG_GRAM = 20, 44
@@ -373,15 +373,14 @@ def _whole_characters(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[i
     return out
 
 
-def _shortened(schema: pa.Schema):
-    """Texts without their repeats, and ``n_chars`` to match; documents that lose all their bytes go."""
+def _shortened(schema: pa.Schema, notes: list[str]):
+    """Texts without their repeats (``notes``: columns copy, starts, ends), and ``n_chars`` to match; documents that lose all their bytes go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = {name: i for i, name in enumerate(batch.schema.names)}
             old, new, stay = batch.column(at["text"]).to_pylist(), [], []
-            for text, raw, copy, starts, ends in zip(old, texts(batch), *(batch.column(at[c]).to_pylist() for c in (
-                    "_copy", "_starts", "_ends"))):
+            for text, raw, copy, starts, ends in zip(old, texts(batch), *(batch.column(at[c]).to_pylist() for c in notes)):
                 spans = [(0, len(raw))] if copy and len(raw) >= LENGTH else united(list(zip(starts or [], ends or [])))
                 spans, last, left = _whole_characters(raw, spans), 0, []
                 for s, e in spans:
@@ -405,10 +404,10 @@ def _shortened(schema: pa.Schema):
 
 def shortened(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns) with repeats cut out of ``text``; only whole characters are cut."""
-    notes = repeats(docs).select(F.col("doc_id").alias("_id"), F.col("starts").alias("_starts"), F.col("ends").alias("_ends"),
-                                 F.col("copy").alias("_copy"))
-    joined = docs.join(notes.hint("shuffle_hash"), docs.doc_id == notes["_id"], "left").drop("_id")
-    return joined.mapInArrow(_shortened(to_arrow_schema(docs.schema)), docs.schema)
+    number, *names = unused(docs, "_id", "_copy", "_starts", "_ends")
+    notes = repeats(docs).select(F.col("doc_id").alias(number), *[F.col(c).alias(n) for c, n in zip(("copy", "starts", "ends"), names)])
+    joined = docs.join(notes.hint("shuffle_hash"), docs.doc_id == notes[number], "left").drop(number)
+    return joined.mapInArrow(_shortened(to_arrow_schema(docs.schema), names), docs.schema)
 
 
 def repeats(docs: DataFrame) -> DataFrame:

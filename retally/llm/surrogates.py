@@ -16,6 +16,7 @@ DataFrame functions throughout.
 
 from __future__ import annotations
 
+import hashlib
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -77,13 +78,31 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(one, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10
 
 
+def mod97(account: Column) -> Column:
+    """The check value of an account number (1 where it is right): its first four characters last, letters as two digits."""
+    turned = F.concat(F.substring(account, 5, 100), F.substring(account, 1, 4))
+    value = lambda c: F.conv(c, 36, 10).cast("int")
+    return F.aggregate(F.filter(_chars(turned), lambda c: c != ""), F.lit(0), lambda a, c: F.when(
+        value(c) > 9, (a * 100 + value(c)) % 97).otherwise((a * 10 + value(c)) % 97))
+
+
+def keyed(key: str, *parts: Column) -> Column:
+    """HMAC-SHA256 of the parts in hex; each part is told by its length, so that no two lists of parts are one message."""
+    block = key.encode() if len(key.encode()) <= 64 else hashlib.sha256(key.encode()).digest()
+    pad = lambda b: F.lit(bytes(c ^ b for c in block.ljust(64, b"\0")))
+    message = F.concat(*[F.concat(F.char_length(part).cast("string"), F.lit(":"), part) for part in parts])
+    inner = F.unhex(F.sha2(F.concat(pad(0x36), F.encode(message, "UTF-8")), 256))
+    return F.sha2(F.concat(pad(0x5C), inner), 256)
+
+
 def kind_of(match: Column) -> Column:
-    """The form a match has; null for a row of digits that is no card."""
+    """The form a match has; null for a row of digits that is no card, and for a code that is no account number."""
     found = F.lit(None).cast("string")
     for kind, form in reversed(FORMS.items()):
         is_it = F.regexp_like(match, F.lit(f"^(?:{form})$"))
         found = F.when(is_it, F.lit(kind)).otherwise(found)
-    return F.when((found == "card") & (luhn(_digits(match)) != 0), None).otherwise(found)
+    return F.when((found == "card") & (luhn(_digits(match)) != 0), None).when(
+        (found == "iban") & (mod97(F.regexp_replace(match, " ", "")) != 1), None).otherwise(found)
 
 
 def _script(name: Column) -> Column:
@@ -91,13 +110,17 @@ def _script(name: Column) -> Column:
         F.regexp_like(name, F.lit(r"^\p{IsGreek}")), "greek").otherwise("latin")
 
 
-def mentions(docs: DataFrame) -> DataFrame:
+def entities_in(docs: DataFrame) -> DataFrame:
+    """``(rid, i, match, kind)``: the entities of ``docs(rid, text)``; ``i`` counts the matches of a row."""
+    found = docs.select("rid", F.posexplode(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("i", "match"))
+    return found.distinct().withColumn("kind", kind_of(F.col("match"))).where("kind is not null")
+
+
+def mentions(found: DataFrame) -> DataFrame:
     """One row per entity, or per part of a person's name: ``(rid, i, j, match, kind, value, trait)``.
 
-    ``i`` counts the matches of a row; ``value`` is canonical; ``trait`` is what a surrogate must keep.
+    ``value`` is canonical; ``trait`` is what a surrogate must keep.
     """
-    found = docs.select("rid", F.posexplode(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("i", "match"))
-    found = found.distinct().withColumn("kind", kind_of(F.col("match"))).where("kind is not null")
     m, kind = F.col("match"), F.col("kind")
     country = F.regexp_extract(m, r"^\+(\d{1,3}?)(?=[ .(-]|\d{6,})", 1)
     plain = found.where("kind <> 'person'").select(
@@ -121,7 +144,7 @@ def mentions(docs: DataFrame) -> DataFrame:
 
 def candidate(kind: Column, value: Column, trait: Column, key: str, attempt: int) -> Column:
     """The surrogate an attempt proposes for a canonical value."""
-    code = F.sha2(F.concat_ws("|", F.lit(key), kind, value, trait, F.lit(str(attempt))), 256)
+    code = keyed(key, kind, value, trait, F.lit(str(attempt)))
     pick = lambda i, letters: F.substring(F.lit(letters), (_number(code, i, len(letters)) + 1).cast("int"), F.lit(1))
     # with many attempts a value gets longer, as its own forms are used up: mail by the attempt, names by a syllable for
     # every two, telephone and social security numbers by a digit for every four, after a draw over all first digits
@@ -132,7 +155,7 @@ def candidate(kind: Column, value: Column, trait: Column, key: str, attempt: int
             i, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")).when(F.regexp_like(c, F.lit("[a-z]")), pick(
                 i, "abcdefghijklmnopqrstuvwxyz")).otherwise(c)), "")
     local, host = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
-    house = F.concat(F.lit("mail-"), F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("host"), host), 256), 1, 8),
+    house = F.concat(F.lit("mail-"), F.substring(keyed(key, F.lit("host"), host), 1, 8),
                      F.lit(".example"))
     octet = lambda i, low, high: (_number(code, F.lit(i), high - low) + low).cast("string")
     digits = _digits(value)
@@ -141,6 +164,7 @@ def candidate(kind: Column, value: Column, trait: Column, key: str, attempt: int
         (i == 0) & F.lit(not wide), (_number(code, i, 8) + 2).cast("string")).otherwise(pick(i, "0123456789"))), "")
     unchecked = F.concat(trait, drawn(F.length(digits) - 2))
     check = ((10 - luhn(F.concat(unchecked, F.lit("0")))) % 10).cast("string")
+    account = same_shape(F.substring(value, 5, 100))
     name = F.lit(None).cast("string")
     for (script, gender), ending in ENDINGS.items():
         syllables = F.array(*[F.lit(s) for s in SYLLABLES[script].split()])
@@ -154,12 +178,12 @@ def candidate(kind: Column, value: Column, trait: Column, key: str, attempt: int
             .when(kind == "phone", F.concat(F.when(value.startswith("+"), "+").otherwise(""), trait, drawn(rest + more)))
             .when(kind == "card", F.concat(unchecked, check))
             .when(kind == "ssn", F.concat(F.lit("9"), drawn(F.lit(8 + more))))
-            .when(kind == "iban", F.concat(trait, same_shape(F.substring(value, 3, 100))))
+            .when(kind == "iban", F.concat(trait, F.lpad((98 - mod97(F.concat(trait, F.lit("00"), account))).cast("string"), 2, "0"), account))
             .otherwise(name))
 
 
 def surrogates(entities: DataFrame, key: str, home: str) -> DataFrame:
-    """``(kind, value, surrogate)`` for distinct ``entities(kind, value, trait)``; all surrogates of a kind differ."""
+    """``(kind, value, trait, surrogate)`` for distinct ``entities(kind, value, trait)``; all surrogates of a kind differ."""
     entities = kept(entities, f"{home}/entities")
     originals = entities.select("kind", F.col("value").alias("surrogate"))
     todo, done = entities, None
@@ -168,10 +192,10 @@ def surrogates(entities: DataFrame, key: str, home: str) -> DataFrame:
         free = drawn.join(originals, ["kind", "surrogate"], "left_anti")
         if done is not None:
             free = free.join(done, ["kind", "surrogate"], "left_anti")
-        first = free.groupBy("kind", "surrogate").agg(F.min("value").alias("value"))
-        won = kept(first.select("kind", "value", "surrogate"), f"{home}/won-{attempt}")
+        first = free.groupBy("kind", "surrogate").agg(F.min(F.struct("value", "trait")).alias("won"))
+        won = kept(first.select("kind", "won.value", "won.trait", "surrogate"), f"{home}/won-{attempt}")
         done = won if done is None else done.unionAll(won)
-        todo = kept(todo.join(won, ["kind", "value"], "left_anti"), f"{home}/todo-{attempt}")
+        todo = kept(todo.join(won, ["kind", "value", "trait"], "left_anti"), f"{home}/todo-{attempt}")
         if todo.isEmpty():
             return done
     raise RuntimeError("a kind of entity has more values than surrogates")
@@ -194,6 +218,20 @@ def _count(kinds: Column, kind: str) -> Column:
     return F.size(F.filter(kinds, lambda x: x == kind)).cast("long")
 
 
+def settled(seen: DataFrame) -> DataFrame:
+    """``(kind, value, trait, who)`` for distinct ``seen(kind, value, trait)``: the trait that tells an entity's surrogate.
+
+    A name under titles of both genders is two people's, with a surrogate for each gender.  Where a title tells none, a name that
+    has one gender elsewhere keeps it.  What is not a name is one entity however its trait was read.
+    """
+    open_ = F.col("trait").endswith(":n")
+    gender = F.when(~open_, F.col("trait"))
+    whole = seen.groupBy("kind", "value").agg(F.min(gender).alias("low"), F.max(gender).alias("high"), F.min("trait").alias("least"))
+    name = F.when(open_ & (F.col("low") == F.col("high")), F.col("low")).otherwise(F.col("trait"))
+    return seen.join(whole, ["kind", "value"]).select("kind", "value", "trait", F.when(
+        F.col("kind").isin("given", "family"), name).otherwise(F.col("least")).alias("who"))
+
+
 def replaced(docs: DataFrame, key: str) -> DataFrame:
     """``docs(doc_id, text)`` with entities replaced: ``(doc_id, text, n_entities, kinds)``.
 
@@ -204,10 +242,11 @@ def replaced(docs: DataFrame, key: str) -> DataFrame:
     # a row is told by id and text, so that repeated and null ids do no harm
     docs = docs.select("doc_id", "text", F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("?")),
                                                                 F.lit(":"), "text"))).alias("rid"))
-    found = kept(mentions(docs), f"{home}/mentions")
-    entities = found.groupBy("kind", "value").agg(F.min("trait").alias("trait"))
-    table = surrogates(entities, key, home)
-    told = found.join(table, ["kind", "value"])
+    found = kept(mentions(kept(entities_in(docs), f"{home}/matches")), f"{home}/mentions")
+    names = kept(settled(found.select("kind", "value", "trait").distinct()), f"{home}/names")
+    table = surrogates(names.select("kind", "value", F.col("who").alias("trait")).distinct(), key, home)
+    table = names.join(table.withColumnRenamed("trait", "who"), ["kind", "value", "who"]).drop("who")
+    told = found.join(table, ["kind", "value", "trait"])
     titled = F.regexp_extract("match", rf"^((?:{TITLE})\.?\x20)", 1)
     text = F.when(F.col("kind").isin("given", "family"), F.concat(F.when(F.col("j") == 0, titled).otherwise(" "), F.when(
         F.regexp_like("match", F.lit(r"\p{Ll}")), F.initcap("surrogate")).otherwise(F.upper("surrogate")))).otherwise(_rendered(F.col("match"), F.col("kind"), F.col("surrogate")))

@@ -1,14 +1,16 @@
 """Cases in which an operator once did less than its whole job."""
 
+import hmac
 import random
 import re
 import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 from tokenizers import Tokenizer
 
-from retally.llm import divergence, packing, surrogates
+from retally.llm import blob_ledger, divergence, packing, repeats, surrogates
 
 
 def test_documents_without_common_words_are_not_kept(spark):
@@ -73,3 +75,69 @@ def test_whole_names_behind_titles_are_replaced(spark):
     smith = found[0].group(1)
     assert {smith} == {found[0].group(2), found[4].group(1), found[6].group(1), found[7].group(1).capitalize(), found[8].group(1)}
     assert found[3].group(1) == found[3].group(2) != smith
+
+
+def test_a_name_under_both_titles_is_two_people(spark):
+    texts = ["Mr. Robin Smith", "Mrs. Robin Weber", "Dr. Robin Jones", "Mrs. Anna Weber", "Dr. Anna Weber"]
+    got = [r.text.split() for r in surrogates.replaced(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k")
+           .orderBy("doc_id").collect()]
+    assert got[0][1].endswith("rdo") and got[1][1].endswith("lia") and got[2][1].endswith("ren")
+    assert len({got[i][1] for i in range(3)}) == 3 and got[3][1] == got[4][1] and got[3][1].endswith("lia")
+    assert got[1][2] == got[3][2] == got[4][2]                             # one family
+
+
+def test_account_numbers_are_checked_and_stay_valid(spark):
+    rows = [(0, "IBAN DE89 3704 0044 0532 0130 00."), (1, "order DE89 3704 0044 0532 0130 01 stays"), (2, "GB29NWBK60161331926819")]
+    got = {r.doc_id: r for r in surrogates.replaced(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    assert got[1].text == rows[1][1] and got[1].n_entities == 0
+    for i, form in ((0, r"IBAN (DE\d\d(?: \d{4}){4} \d\d)\."), (2, r"(GB\d\d[A-Z]{4}\d{14})")):
+        account = re.fullmatch(form, got[i].text).group(1).replace(" ", "")
+        assert account not in rows[i][1].replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in account[4:] + account[:4])) % 97 == 1
+
+
+def test_keyed_digests_are_an_hmac(spark):
+    from pyspark.sql import functions as F
+
+    for key in ("k", "a long key " * 9):
+        got = spark.range(1).select(surrogates.keyed(key, F.lit("é|"), F.lit("b"))).first()[0]
+        assert got == hmac.new(key.encode(), "2:é|1:b".encode(), "sha256").hexdigest()
+
+
+def test_a_ledger_goes_on_after_a_scan_that_failed(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "ledger")
+    ledger = blob_ledger.Ledger(spark, path)
+    versions = spark.createDataFrame([("a", "AKIA" + "A" * 16), ("b", "nothing")], "path string, text string")
+    spans_of = blob_ledger.spans_of
+    monkeypatch.setattr(blob_ledger, "spans_of", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        ledger.scan(versions)
+    monkeypatch.setattr(blob_ledger, "spans_of", spans_of)
+    again = blob_ledger.Ledger(spark, path, new=False)
+    again.scan(versions)
+    more = versions.unionAll(spark.createDataFrame([("c", "AKIA" + "B" * 16)], versions.schema))
+    again.scan(more)                                               # meets old blobs, scans the new one
+    assert [again.rows().where(f"batch = {i}").count() for i in (1, 2)] == [2, 1] and again.findings().count() == 2
+
+
+def test_helper_columns_never_clash(spark):
+    same = "a passage that is long enough to be found again in another document of this table"
+    names = ["_blob", "_spans", "_id", "_copy", "_starts", "_ends", "blob", "spans", "_BLOB_", "copy"]
+    rows = [(0, same + " first token=abcdefgh12", *range(10)), (1, "now " + same, *range(10)), (2, None, *range(10)), (2, None, *range(10))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names))
+    clean = blob_ledger.without_secrets(docs)
+    assert clean.columns == docs.columns and [r.text for r in clean.orderBy("doc_id").collect()][0] == same + " first [secret]"
+    short = repeats.shortened(docs)
+    assert short.columns == docs.columns
+    got = {r.doc_id: r for r in short.collect()}
+    assert got[1].text == "now " and got[1]["_starts"] == 4 and got[2].text is None
+
+
+def test_very_long_texts(spark):
+    rnd = random.Random(3)
+    words = " ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(700_000))          # 5 MB
+    docs = spark.createDataFrame([(0, words), (1, words + " password=longsecret"), (2, "short")], "doc_id long, text string")
+    assert {r.doc_id: r.spans for r in blob_ledger.digests(docs).collect()} == {
+        0: "", 1: f"assign:{len(words) + 1}:{len(words) + 20}", 2: ""}
+    got = {r.doc_id: r for r in repeats.without_repeats(docs).select("doc_id", "n_bytes", "n_removed").collect()}
+    assert got[0].n_removed == 0 and got[1].n_removed == len(words)

@@ -12,10 +12,11 @@ that share a minimizer, and equal strings meet under one minimizer.
    buckets by value and gets back those that two documents share.  Nothing else can hold a repeat.
 3. The segments under shared minimizers become one row per distinct segment, with the smallest document id
    (combined on the map side, so a passage in a third of all documents is a row per task), and are gathered by
-   minimizer.  A minimizer with more than ``INDEX_BYTES`` is split by a longer second one.
-4. Every bucket of segments is indexed: suffix order, run-compressed Burrows-Wheeler transform, sampled run ends.
-   The segments are streamed backwards through it; each step of the LF mapping gives the row of the next longer
-   suffix, whose interval of rows with ``LENGTH`` equal bytes tells the earliest document with that string.
+   minimizer.  A minimizer with more than twice ``INDEX_BYTES`` is split by a longer second one; what is still
+   crowded then (runs of a short period) is told string by string, by a map-side combined aggregate.
+4. In every bucket the earlier half of the owners under a minimizer is indexed (run-compressed Burrows-Wheeler
+   transform with sampled run ends, ``run_index``) and the segments of the later half are streamed through it for
+   matching statistics; so again within each half.  A match of ``LENGTH`` bytes is a repeat.
 5. Marked places go back to all places of a segment and are united per document.
 
 Everything between the steps is a written table.  No step holds more than a chunk, a bucket or one document.
@@ -34,8 +35,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from retally.llm.common import kept, mixed, ready, texts, unused, workspace
+from retally.llm.run_index import LENGTH, earlier
 
-LENGTH = 50
 GRAM, LONG_GRAM = 20, 44
 CHUNK_BYTES = 2_000_000
 INDEX_BYTES = 500_000
@@ -84,96 +85,6 @@ def runs(raw: np.ndarray, owner: np.ndarray, gram: int = GRAM) -> tuple[np.ndarr
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-class RunLengthIndex:
-    """Run-compressed Burrows-Wheeler transform of distinct segments.
-
-    Kept are only runs (head, first row, LF base, sampled position at the last row), the row of every segment's end
-    and, per interval of rows that start with the same ``LENGTH`` bytes, the smallest owner.
-    """
-
-    def __init__(self, segments: list[bytes], owner: np.ndarray):
-        size = np.array([len(s) for s in segments], np.int64)
-        text = np.frombuffer(b"".join([s + b"\0" for s in segments]), np.uint8).astype(np.int64) + 1
-        end = np.cumsum(size + 1) - 1
-        text[end] = 0                                       # separators sort below all bytes
-        n = len(text)
-        order, half = self._suffixes(text)
-        which = np.repeat(np.arange(len(segments)), size + 1)
-        place = np.arange(n) - np.repeat(end - size, size + 1)
-        # intervals of rows with LENGTH equal bytes, inside a segment
-        whole = (place + LENGTH <= np.repeat(size, size + 1))[order]
-        near = lambda p: (half[p], half[np.minimum(p + LENGTH - 28, n - 1)])
-        a, b = near(order)
-        new = np.ones(n, bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | ~whole[1:] | ~whole[:-1]
-        self._interval = np.flatnonzero(new)
-        self._earliest = np.minimum.reduceat(owner[which[order]], self._interval)
-        # the transform by runs
-        last = text[order - 1]                              # row of the whole text: the last separator
-        start = np.flatnonzero(np.append(True, last[1:] != last[:-1]))
-        self._start, self._head = start, last[start]
-        length = np.diff(np.append(start, n))
-        by_head = np.argsort(self._head, kind="stable")
-        base = np.empty(len(start), np.int64)
-        base[by_head] = np.cumsum(length[by_head]) - length[by_head]
-        self._base = base                                   # rows of smaller symbols and of earlier runs
-        self.sample = order[start + length - 1]
-        row = np.empty(n, np.int64)
-        row[order] = np.arange(n)
-        self._end, self._size, self._owner = row[end], size, owner
-
-    @staticmethod
-    def _suffixes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix order by prefix doubling from seven symbols on; the ranks by 28 symbols."""
-        n = len(text)
-        key = np.zeros(n, np.int64)
-        for i in range(7):
-            key = key << 9
-            key[:n - i] |= text[i:]
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.maximum.accumulate(np.where(np.append(True, sorted_key[1:] != sorted_key[:-1]), np.arange(n), 0))
-        half, step = None, 7
-        while True:
-            if step == 28:
-                half = rank.copy()
-            here = rank[order]
-            tied = np.append(False, here[1:] == here[:-1])
-            tied[:-1] |= tied[1:]
-            at = np.flatnonzero(tied)
-            if half is not None and not len(at):
-                return order, half
-            # only rows that are still tied are put in order; a rank is the first row of its tie
-            who = order[at]
-            then = np.where(who + step < n, rank[np.minimum(who + step, n - 1)] + 1, 0)
-            resorted = np.lexsort((then, rank[who]))
-            who, then, here = who[resorted], then[resorted], rank[who][resorted]
-            order[at] = who
-            new = np.append(True, (here[1:] != here[:-1]) | (then[1:] != then[:-1]))[:len(at)]
-            rank[who] = np.maximum.accumulate(np.where(new, at, 0))
-            step *= 2
-
-    def stream(self) -> list[list[tuple[int, int]]]:
-        """Per segment the places (start, end) of strings that an earlier document has."""
-        longest = np.argsort(-self._size, kind="stable")
-        size, row, owner = self._size[longest], self._end[longest], self._owner[longest]
-        first = np.cumsum(size) - size
-        marks = np.zeros(int(size.sum()), bool)
-        for done in range(1, int(size[0]) + 1 if len(size) else 0):
-            live = int(np.searchsorted(-size, -done, "right"))
-            run = np.searchsorted(self._start, row[:live], "right") - 1
-            row[:live] = self._base[run] + row[:live] - self._start[run]
-            if done >= LENGTH:
-                interval = np.searchsorted(self._interval, row[:live], "right") - 1
-                marks[first[:live] + size[:live] - done] = self._earliest[interval] < owner[:live]
-        out: list = [None] * len(size)
-        for i, begin, n in zip(longest.tolist(), first.tolist(), size.tolist()):
-            at = np.flatnonzero(marks[begin:begin + n])
-            out[i] = united([(p, p + LENGTH) for p in at.tolist()])
-        return out
-
-
 def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for start, end in sorted(spans):
@@ -279,13 +190,13 @@ _MARKED = pa.schema([("sid", pa.binary()), ("owner", pa.int64()), ("times", pa.i
 
 def _index(table: pa.Table) -> pa.Table:
     """Marks of a bucket's segments.  A segment alone under its minimizer has nothing to be searched for in."""
-    _, which, count = np.unique(table["minimizer"].to_numpy(), return_inverse=True, return_counts=True)
+    minimizer = table["minimizer"].to_numpy()
+    _, which, count = np.unique(minimizer, return_inverse=True, return_counts=True)
     several = np.flatnonzero(count[which] > 1)
     segments, owner = table["segment"].to_pylist(), table["owner"].to_numpy()
     marks: list = [[]] * len(segments)
-    if len(several):
-        for i, spans in zip(several.tolist(), RunLengthIndex([segments[i] for i in several], owner[several]).stream()):
-            marks[i] = [x for span in spans for x in span]
+    for i, places in zip(several.tolist(), earlier([segments[i] for i in several], minimizer[several], owner[several])):
+        marks[i] = [x for span in united([(p, p + LENGTH) for p in places.tolist()]) for x in span]
     return pa.table([pa.array([hashlib.md5(s).digest() for s in segments], pa.binary()), table["owner"], table["times"],
                      pa.array(marks, pa.list_(pa.int64()))], schema=_MARKED)
 
@@ -311,7 +222,7 @@ def _marked(distinct: DataFrame, home: str, level: int = 0) -> DataFrame:
     buckets = max(1, math.ceil(total / INDEX_BYTES))
     crowded = distinct.groupBy("minimizer").agg(F.sum(size).alias("bytes")).where(F.col("bytes") > 2 * INDEX_BYTES)
     crowded = kept(crowded.select("minimizer"), f"{home}/crowded-{level}")
-    split = level == 0 and not crowded.isEmpty()
+    split = not crowded.isEmpty()
     ordinary = distinct.join(crowded, "minimizer", "left_anti") if split else distinct
     bucket = F.pmod(F.xxhash64("minimizer"), F.lit(buckets)).alias("bucket")
     done = kept(ordinary.select(bucket, "segment", "minimizer", "owner", "times").groupBy("bucket").applyInArrow(
@@ -319,17 +230,35 @@ def _marked(distinct: DataFrame, home: str, level: int = 0) -> DataFrame:
     if not split:
         return done
     outer = distinct.join(crowded, "minimizer", "left_semi")
+    back = _by_pieces(outer, home) if level == 0 else _by_strings(outer)
+    back = back.groupBy("sid").agg(F.flatten(F.collect_list("marks")).alias("marks"))
+    return done.unionAll(outer.select(_sid().alias("sid"), "owner", "times").join(back, "sid", "left").select(
+        "sid", "owner", "times", "marks"))
+
+
+def _by_pieces(outer: DataFrame, home: str) -> DataFrame:
+    """``(sid, marks)``, some rows a segment, of segments cut by the longer minimizer."""
     inner = kept(outer.select("owner", "segment").mapInArrow(
         _pieces, "outer binary, owner long, segment binary, minimizer long, at long"), f"{home}/pieces")
     again = inner.groupBy("segment", "minimizer").agg(F.min("owner").alias("owner"), F.count("*").alias("times"))
     found = _marked(kept(again, f"{home}/inner"), home, 1).select("sid", F.col("owner").alias("earliest"), "marks")
     # a piece of a later owner than the piece's earliest is a repeat as a whole
-    back = inner.withColumn("sid", _sid()).join(found, "sid").select(
-        "outer", F.when(F.col("owner") > F.col("earliest"), F.array("at", F.col("at") + size)).otherwise(
+    return inner.withColumn("sid", _sid()).join(found, "sid").select(
+        F.col("outer").alias("sid"),
+        F.when(F.col("owner") > F.col("earliest"), F.array("at", F.col("at") + F.octet_length("segment"))).otherwise(
             F.transform("marks", lambda m: m + F.col("at"))).alias("marks"))
-    back = back.groupBy("outer").agg(F.flatten(F.collect_list("marks")).alias("marks"))
-    return done.unionAll(outer.select(_sid().alias("sid"), "owner", "times").join(
-        back.withColumnRenamed("outer", "sid"), "sid", "left").select("sid", "owner", "times", "marks"))
+
+
+def _by_strings(outer: DataFrame) -> DataFrame:
+    """``(sid, marks)``, a row for each repeated string of ``LENGTH`` bytes of a segment."""
+    strings = outer.select(_sid().alias("sid"), "owner", "segment", F.explode(
+        F.sequence(F.lit(0), F.octet_length("segment") - LENGTH)).alias("at")).select(
+        "sid", "owner", F.expr(f"substring(segment, at + 1, {LENGTH})").alias("string"), F.col("at").cast("long").alias("at"))
+    # a string that a segment of a short period holds many times is one row, with its places
+    strings = strings.groupBy("sid", "owner", "string").agg(F.collect_list("at").alias("places"))
+    first = strings.groupBy("string").agg(F.min("owner").alias("earliest"), F.max("owner").alias("latest")).where("earliest < latest")
+    return strings.join(first, "string").where("owner > earliest").select(
+        "sid", F.flatten(F.transform("places", lambda p: F.array(p, p + LENGTH))).alias("marks"))
 
 
 def _sid():

@@ -13,18 +13,21 @@ from __future__ import annotations
 import numpy as np
 
 LENGTH = 50
+#: Strings of a pattern that are streamed as one; only the number of steps depends on it.
+PIECE = 64
 _BYTES = 8
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
     """Order of the suffixes of small numbers, by prefix doubling from as many of them as fit 63 bits."""
-    n, bits = len(text), max(1, int(text.max()).bit_length())
+    number = np.cumsum(np.bincount(text) > 0) - 1
+    text, n, bits = number[text], len(text), max(1, int(number[-1]).bit_length())
     step = 63 // bits
     key = np.zeros(n, np.int64)
     for i in range(step):
         key <<= bits
         key[:max(0, n - i)] |= text[i:]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     here = key[order]
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(np.append(True, here[1:] != here[:-1]), np.arange(n), 0))
@@ -46,26 +49,58 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
         step *= 2
 
 
-def _joined(texts: list[bytes], tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols (tag and byte, 0 behind each text) of joined texts, and the texts' sizes."""
-    size = np.array([len(t) for t in texts], np.int64)
-    raw = np.frombuffer(b"".join([t + b"\0" for t in texts]), np.uint8).astype(np.int64)
-    symbols = raw + 1 + 256 * np.repeat(tag.astype(np.int64), size + 1)
-    symbols[np.cumsum(size + 1) - 1] = 0
-    return symbols, size
+class Collection:
+    """Joined texts, each followed by a separator that sorts below all bytes, in suffix order.
+
+    The order of some of the texts, or of texts by tag, is part of it; so indexes of any choice need no sorting.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        self.size = np.array([len(t) for t in texts], np.int64)
+        self.first = np.cumsum(self.size + 1) - self.size - 1
+        self.which = np.repeat(np.arange(len(texts)), self.size + 1)
+        raw = np.frombuffer(b"".join([t + b"\0" for t in texts]), np.uint8)
+        self.text = raw.astype(np.int64) + 1
+        self.text[self.first + self.size] = 0
+        self.order = suffix_order(self.text)
+        # eight bytes at each place, and the bytes that are left of its text
+        n = len(raw)
+        padded = np.zeros(n + LENGTH + 2 * _BYTES, np.uint64)
+        padded[:n] = raw
+        self.words = np.zeros(n + LENGTH + _BYTES, np.uint64)
+        for i in range(_BYTES):
+            self.words |= padded[i:i + len(self.words)] << np.uint64(8 * i)
+        self.left = np.repeat(self.first + self.size, self.size + 1) - np.arange(n)
+
+    def common(self, p: np.ndarray, q: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Bytes that the texts at two places share, up to ``most``."""
+        out, go = np.zeros(len(p), np.int64), np.arange(len(p))
+        for at in range(0, LENGTH, _BYTES):
+            differ = self.words[p[go] + at] ^ self.words[q[go] + at]
+            lowest = (differ & (~differ + np.uint64(1))).astype(np.float64)
+            out[go] += np.where(differ == 0, _BYTES, (np.frexp(lowest)[1] - 1) // 8)
+            go = go[(differ == 0) & (out[go] < most[go])]
+            if not len(go):
+                break
+        return np.minimum(np.minimum(out, most), np.minimum(self.left[p], self.left[q]))
 
 
 class RunLengthIndex:
-    """Index of texts (at least one).  A text has a tag; only patterns with that tag match it."""
-
-    def __init__(self, texts: list[bytes], tag: np.ndarray):
-        symbols, size = _joined(texts, tag)
-        n, end = len(symbols), np.cumsum(size + 1) - 1
-        self._alphabet, text = np.unique(symbols, return_inverse=True)
-        order = suffix_order(text)
-        last = text[order - 1]                              # row of the whole text: the last separator
+    """Index of the ``members`` (at least one) of a collection.  A text has a tag; only patterns with that tag match it."""
+
+    def __init__(self, texts: Collection, members: np.ndarray, tag: np.ndarray):
+        self._texts = texts
+        chosen = np.zeros(len(texts.size), bool)
+        chosen[members] = True
+        number = np.where(chosen, tag, -1)                  # by text
+        order = texts.order[chosen[texts.which[texts.order]]]
+        mark = np.where(texts.text[order] == 0, 0, number[texts.which[order]] + 1)
+        if mark.max() > 1:
+            order = order[np.argsort(mark.astype(np.min_scalar_type(int(mark.max()))), kind="stable")]
+        before = order - 1                                  # of the first place: the last separator
+        last = np.where(texts.text[before] == 0, 0, texts.text[before] + 256 * number[texts.which[before]])
         start = np.flatnonzero(np.append(True, last[1:] != last[:-1]))
-        stop = np.append(start[1:], n) - 1
+        stop = np.append(start[1:], len(order)) - 1
         self._start, self._stop, self._head = start, stop, last[start]
         # runs of one symbol lie together, in the order of their rows
         self._by_head = np.argsort(self._head, kind="stable")
@@ -73,59 +108,50 @@ class RunLengthIndex:
         length = (stop - start + 1)[self._by_head]
         self._base = np.empty(len(start), np.int64)         # rows of smaller symbols and of earlier runs
         self._base[self._by_head] = np.cumsum(length) - length
+        self._known = np.zeros(int(self._head.max()) + 1, bool)
+        self._known[self._head] = True
         self.first, self.last = order[start], order[stop]   # samples
-        # the text itself, eight bytes at each place, and the bytes that are left of its segment
-        raw = np.zeros(n + LENGTH + 2 * _BYTES, np.uint64)
-        raw[:n] = (np.maximum(symbols, 1) - 1) & 255
-        self._words = np.zeros(n + LENGTH + _BYTES, np.uint64)
-        for i in range(_BYTES):
-            self._words |= raw[i:i + len(self._words)] << np.uint64(8 * i)
-        self._left = np.repeat(end, size + 1) - np.arange(n)
-
-    def _common(self, p: np.ndarray, q: np.ndarray, most: np.ndarray) -> np.ndarray:
-        """Bytes that the texts at two places share, up to ``most``."""
-        out, go = np.zeros(len(p), np.int64), np.arange(len(p))
-        for at in range(0, LENGTH, _BYTES):
-            differ = self._words[p[go] + at] ^ self._words[q[go] + at]
-            with np.errstate(over="ignore"):
-                lowest = (differ & (~differ + np.uint64(1))).astype(np.float64)
-            out[go] += np.where(differ == 0, _BYTES, (np.frexp(lowest)[1] - 1) // 8)
-            go = go[(differ == 0) & (out[go] < most[go])]
-            if not len(go):
-                break
-        return np.minimum(np.minimum(out, most), np.minimum(self._left[p], self._left[q]))
 
     def _jump(self, symbol: np.ndarray, run: np.ndarray, place: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
         """Run, row, position and length after going to the nearest run of ``symbol``, before or behind ``run``."""
         runs = len(self._start)
         at = np.searchsorted(self._key, symbol * runs + run)
         before, after = self._by_head[np.maximum(at - 1, 0)], self._by_head[np.minimum(at, runs - 1)]
-        shared = []
-        for there, which, sample in ((at > 0, before, self.last), (at < runs, after, self.first)):
-            there = there & (self._head[which] == symbol)
-            common = np.full(len(run), -1)
-            common[there] = self._common(place[there], sample[which[there]], length[there])
-            shared.append(common)
+        there = np.concatenate([(at > 0) & (self._head[before] == symbol), (at < runs) & (self._head[after] == symbol)])
+        shared = np.where(there, 0, -1)
+        there = np.flatnonzero(there & np.tile(length > 0, 2))
+        mine = there % len(run)
+        shared[there] = self._texts.common(place[mine], np.concatenate([self.last[before], self.first[after]])[there], length[mine])
+        shared = shared.reshape(2, -1)
         behind = shared[1] > shared[0]
         return (np.where(behind, after, before), np.where(behind, self._start[after], self._stop[before]),
-                np.where(behind, self.first[after], self.last[before]), np.maximum(*shared))
-
-    def found(self, patterns: list[bytes], tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each place of the joined patterns whether the index has the ``LENGTH`` bytes there; each pattern's first place."""
-        symbols, size = _joined(patterns, tag)
-        number = np.minimum(np.searchsorted(self._alphabet, symbols), len(self._alphabet) - 1)
-        number = np.where(self._alphabet[number] == symbols, number, -1)
-        begin = np.cumsum(size + 1) - size - 1
-        marks = np.zeros(len(symbols), bool)
-        longest = np.argsort(-size, kind="stable")
-        size, at = size[longest], begin[longest] + size[longest]
-        row, length = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
-        place = np.full(len(size), self.first[0])
-        for done in range(1, int(size[0]) + 1 if len(size) else 0):
-            live = int(np.searchsorted(-size, -done, "right"))
-            symbol = number[at[:live] - done]
-            length[:live][symbol < 0] = 0                   # no such byte: the match begins anew, from any row
-            go = np.flatnonzero(symbol >= 0)
+                np.where(behind, self.first[after], self.last[before]), shared.max(axis=0))
+
+    def found(self, begin: np.ndarray, end: np.ndarray, tag: np.ndarray) -> np.ndarray:
+        """Places (of the collection) in the patterns from ``begin`` to ``end`` whose ``LENGTH`` bytes the index has."""
+        # long patterns in pieces of PIECE strings, streamed side by side
+        pieces = np.maximum(0, end - begin - LENGTH) // PIECE + 1
+        number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin, end, tag = (np.repeat(x, pieces) for x in (begin, end, tag))
+        begin = begin + number * PIECE
+        end = np.minimum(end, begin + PIECE + LENGTH - 1)
+        at, out = end.copy(), []
+        row, length, place = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), np.full(len(at), self.first[0])
+        while True:
+            # a pattern that no longer can have a match is done
+            live = at - begin + length >= LENGTH
+            live &= at > begin
+            if not live.all():
+                at, begin, tag, row, length, place = (x[live] for x in (at, begin, tag, row, length, place))
+            if not len(at):
+                return np.concatenate(out) if out else np.empty(0, np.int64)
+            at -= 1
+            symbol = self._texts.text[at] + 256 * tag
+            known = symbol < len(self._known)
+            known[known] = self._known[symbol[known]]
+            if not known.all():
+                length[~known] = 0                          # no such byte: the match begins anew, from any row
+            go = slice(None) if known.all() else np.flatnonzero(known)
             symbol, here, where, so_far = symbol[go], row[go], place[go], length[go]
             run = np.searchsorted(self._start, here, "right") - 1
             off = np.flatnonzero(self._head[run] != symbol)
@@ -134,8 +160,7 @@ class RunLengthIndex:
             row[go] = self._base[run] + here - self._start[run]
             place[go] = where - 1
             length[go] = np.minimum(so_far + 1, LENGTH)
-            marks[at[:live][length[:live] == LENGTH] - done] = True
-        return marks, begin
+            out.append(at[length == LENGTH])
 
 
 def earlier(segments: list[bytes], minimizer: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
@@ -144,28 +169,33 @@ def earlier(segments: list[bytes], minimizer: np.ndarray, owner: np.ndarray) ->
     The owners under a minimizer are numbered, and the numbers halved again and again: at each level the lower half
     of every block is indexed (one index for all of them; the block is the tag) and the upper half streamed through it.
     So every pair of owners meets at one level.  Wide blocks come first; a segment found whole takes no
-    further part, because the earliest segment with a string never is.
+    further part, and one found in part only with the rest as a pattern: the earliest segment with a string is
+    never found with it.  Equal strings are expected under equal minimizers.
     """
+    if not segments:
+        return []
     by = np.lexsort((owner, minimizer))
     group, new = minimizer[by], np.ones(len(by), bool)
     new[1:] = (group[1:] != group[:-1]) | (owner[by][1:] != owner[by][:-1])
-    first = np.append(True, group[1:] != group[:-1])[:len(by)]
+    first = np.append(True, group[1:] != group[:-1])
     number, group = np.cumsum(new), np.cumsum(first) - 1
     rank, which = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
     rank[by], which[by] = number - number[first][group], group
-    marks = [np.zeros(max(0, len(s) - LENGTH + 1), bool) for s in segments]
-    open_ = np.array([len(m) > 0 for m in marks], bool)
-    for level in reversed(range(int(rank.max()).bit_length() if len(rank) else 0)):
+    texts = Collection(segments)
+    todo = texts.left >= LENGTH                             # places whose string is not found yet
+    for level in reversed(range(int(rank.max()).bit_length())):
         block, upper = rank >> (level + 1), (rank >> level & 1).astype(bool)
-        live = np.flatnonzero(open_)
+        places = np.flatnonzero(todo)
+        of = texts.which[places]
+        change = np.flatnonzero(of[1:] != of[:-1]) + 1
+        low_end, high_end = np.append(0, change), np.append(change, len(of)) - 1
+        live = of[low_end]
         _, pair = np.unique(which[live] * (int(block.max()) + 1) + block[live], return_inverse=True)
         up = np.bincount(pair, upper[live])
         both = ((up > 0) & (up < np.bincount(pair)))[pair]
-        low, high = live[both & ~upper[live]], live[both & upper[live]]
-        if not len(low):
-            continue
-        found, begin = RunLengthIndex([segments[i] for i in low], block[low]).found([segments[i] for i in high], block[high])
-        for i, at in zip(high.tolist(), begin.tolist()):
-            marks[i] |= found[at:at + len(marks[i])]
-            open_[i] = not marks[i].all()
-    return [np.flatnonzero(m) for m in marks]
+        low, high = both & ~upper[live], both & upper[live]
+        if low.any():
+            index = RunLengthIndex(texts, live[low], block)
+            todo[index.found(places[low_end[high]], places[high_end[high]] + LENGTH, block[live[high]])] = False
+    done = np.flatnonzero((texts.left >= LENGTH) & ~todo)
+    return np.split(done - texts.first[texts.which[done]], np.searchsorted(texts.which[done], np.arange(1, len(segments))))

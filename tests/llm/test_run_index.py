@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from retally.llm import repeats
-from retally.llm.run_index import LENGTH, RunLengthIndex, earlier, suffix_order
+from retally.llm.run_index import LENGTH, Collection, RunLengthIndex, earlier, suffix_order
 from tests.llm.test_operators import brute_repeats
 
 
@@ -46,9 +46,10 @@ def test_suffixes_in_order():
 
 def test_tags_keep_texts_apart():
     text = b"a passage of more than fifty bytes, which all of these texts have in common"
-    index = RunLengthIndex([text, b"x" * 60], np.array([0, 1]))
-    marks, first = index.found([text, text, b"x" * 70], np.array([0, 1, 1]))
-    assert [int(marks[a:b].sum()) for a, b in zip(first, [*first[1:], len(marks)])] == [len(text) - 49, 0, 21]
+    texts = Collection([text, b"x" * 60, text, text, b"x" * 70])
+    tag = np.array([0, 1, 0, 1, 1])
+    found = RunLengthIndex(texts, np.array([0, 1]), tag).found(texts.first[2:], texts.first[2:] + texts.size[2:], tag[2:])
+    assert np.bincount(texts.which[found], minlength=5).tolist() == [0, 0, len(text) - 49, 0, 21]
 
 
 @pytest.mark.parametrize("samples", ["first", "last"])
@@ -56,17 +57,19 @@ def test_matches_rest_on_the_samples(samples):
     """With wrong positions at the ends of runs the matches are wrong."""
     rnd, wrong = random.Random(1), 0
     for seed in range(10):
-        texts, _ = segments(seed)
-        index = RunLengthIndex(texts[::2], np.zeros(len(texts[::2]), int))
-        right = index.found(texts[1::2], np.zeros(len(texts[1::2]), int))[0]
+        texts = Collection(segments(seed)[0])
+        tag = np.zeros(len(texts.size), int)
+        index = RunLengthIndex(texts, np.arange(0, len(tag), 2), tag)
+        found = lambda: set(index.found(texts.first[1::2], texts.first[1::2] + texts.size[1::2], tag[1::2]).tolist())
+        right = found()
         setattr(index, samples, np.array(rnd.sample(getattr(index, samples).tolist(), len(index.first))))
-        wrong += not np.array_equal(right, index.found(texts[1::2], np.zeros(len(texts[1::2]), int))[0])
+        wrong += right != found()
     assert wrong
 
 
 def test_repetitive_texts_have_few_runs():
     passage = bytes(random.Random(2).choices(b"abcdefghijklmnop", k=200))
-    runs = lambda copies: len(RunLengthIndex([passage] * copies, np.zeros(copies, int)).first)
+    runs = lambda copies: len(RunLengthIndex(Collection([passage] * copies), np.arange(copies), np.zeros(copies, int)).first)
     assert runs(64) < runs(1) + 64
 
 

@@ -7,12 +7,15 @@ d / (t + d); bytes that a longer context already offers are excluded in shorter
 bytes left are equally likely.  The statistics are frozen after training, so the cost of a byte depends on
 its ``ORDER`` predecessors only, and the exact code length of a text is a sum over its byte
 (ORDER + 1)-grams.  The language with the shortest code wins; the score is its
-probability when all languages are equally likely beforehand.
-
-Training counts n-grams in Spark over a sample of the labelled texts, whole texts each,
-drawn by a hash of the id.  ``SAMPLE_BYTES`` is the expected size of the sample over all
-languages together, equally shared; with it the model's size is bounded, whatever the corpus.
-Scoring covers all texts.
+probability when all languages, and that the text is in none of them, are equally likely beforehand.
+A text in no language has ``PLAIN`` bits a byte, all bytes being equally likely: a text that the
+best language makes longer than it is as it stands is not one of that language.
+
+Training counts n-grams in Spark over a sample of the labelled texts: blocks of ``BLOCK`` bytes, drawn
+by a hash of the id and the block's number, so a long text neither fills the sample nor is missed as a whole.
+``SAMPLE_BYTES`` is the expected size of the sample over all
+languages together, equally shared (a language with less than its share gives all it has); with it the model's
+size is bounded, whatever the corpus.  Scoring covers all texts.
 """
 
 from __future__ import annotations
@@ -23,10 +26,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from retally.llm.common import HashTable, ready, slices, texts
+from retally.llm.common import HashTable, mixed, ready, slices, texts
 
 ORDER = 3
 SAMPLE_BYTES = 4_000_000
+BLOCK = 2000
+PLAIN = 8
 UNKNOWN = "und"
 #: A document whose best language is less likely than this has no clear one.
 CLEAR = 0.5
@@ -37,9 +42,9 @@ def folded(text: bytes) -> bytes:
     return text.decode().lower().encode()
 
 
-def grams(text: bytes, n: int) -> np.ndarray:
+def grams(text: bytes, n: int, before: bytes = _START) -> np.ndarray:
     """Keys of the byte n-grams at each place of a text that begins after line feeds; n is part of the key."""
-    raw = np.frombuffer(_START + text, np.uint8).astype(np.uint64)
+    raw = np.frombuffer(before + text, np.uint8).astype(np.uint64)
     key = np.full(len(text), n, np.uint64)
     for i in range(n):
         at = ORDER + 1 - n + i
@@ -132,8 +137,17 @@ def _shorter(key: np.ndarray) -> np.ndarray:
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         found: dict[str, list[np.ndarray]] = {}
-        for lang, text in zip(batch.column(batch.schema.get_field_index("lang")).to_pylist(), texts(batch)):
-            found.setdefault(lang, []).extend(grams(folded(text), n) for n in range(1, ORDER + 2))
+        column = lambda c: batch.column(batch.schema.get_field_index(c)).to_pylist()
+        for lang, key, rate, text in zip(column("lang"), column("key"), column("rate"), texts(batch)):
+            number = np.arange(-(-len(text) // BLOCK), dtype=np.uint64)
+            with np.errstate(over="ignore"):
+                drawn = mixed(np.uint64(key % 2**64) + number * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)
+            drawn = np.flatnonzero(drawn < rate * 2.0**53)
+            if len(drawn):
+                text = folded(text)
+            for at in (drawn * BLOCK).tolist():
+                before = _START if at == 0 else text[max(0, at - ORDER):at].rjust(ORDER, b"\n")
+                found.setdefault(lang, []).extend(grams(text[at:at + BLOCK], n, before) for n in range(1, ORDER + 2))
         for lang, parts in found.items():
             keys, counts = np.unique(np.concatenate(parts), return_counts=True)
             yield pa.RecordBatch.from_arrays(
@@ -151,7 +165,7 @@ def train(labelled: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> Model:
         return Model([], np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0))
     share = {r["lang"]: min(1.0, sample_bytes / len(langs) / max(1, r["bytes"])) for r in sizes}
     rate = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
-    drawn = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < rate * (1 << 30))
+    drawn = labelled.select("text", "lang", F.xxhash64("doc_id", F.lit("sample")).alias("key"), rate.alias("rate"))
     table = drawn.mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")).toArrow()
     number = {lang: i for i, lang in enumerate(langs)}
@@ -167,15 +181,18 @@ def _judged(batch: pa.RecordBatch, model: Model) -> tuple[list[str], np.ndarray]
         return [UNKNOWN] * len(folds), np.zeros(len(folds))
     bits = model.lengths(folds)
     best = bits.argmin(axis=1)
-    gap = bits - bits[np.arange(len(bits)), best][:, None]
-    score = np.where(letters, 1 / np.exp2(-np.minimum(gap, 1000)).sum(axis=1), 0.0)
+    least = bits[np.arange(len(bits)), best]
+    plain = PLAIN * np.array([len(t) for t in folds], float)
+    gap = np.column_stack([bits, plain]) - least[:, None]
+    score = np.where(letters, 1 / np.exp2(np.clip(-gap, -1000, 1000)).sum(axis=1), 0.0)
     return [model.langs[b] if ok else UNKNOWN for b, ok in zip(best, letters)], score
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, lang_pred, score)`` for every row of ``docs(doc_id, text)``; nothing else is read.
 
-    ``und`` with score 0 where the text is null or has no letter, or nothing was learned.  Of equally
+    ``und`` with score 0 where the text is null or has no letter, or nothing was learned.  A text in no known language
+    still gets the nearest one, with a score next to 0.  Of equally
     short codes the first language in alphabetical order is taken.  Rows are independent of each other,
     so repeated rows get the same answer.
     """

@@ -106,6 +106,60 @@ def test_language_model_and_held_out_accuracy(spark, odd, none, small):
     assert langid.clear(none, langid.train(docs)).count() == 0 and langid.clear(odd, langid.train(docs)).columns == odd.columns
 
 
+def brute_bits(trained, text):
+    """Code length by escapes and exclusion, byte by byte, from the text the model was trained on."""
+    import math
+    before, total = b"\n" * langid.ORDER, 0.0
+    trained, whole = before + trained, before + text
+    for at in range(len(before), len(whole)):
+        excluded = set()
+        for n in range(langid.ORDER, -1, -1):
+            context, seen = whole[at - n:at], {}
+            for p in range(len(before), len(trained)):
+                if trained[p - n:p] == context and trained[p] not in excluded:
+                    seen[trained[p]] = seen.get(trained[p], 0) + 1
+            if not seen:
+                continue
+            if whole[at] in seen:
+                total -= math.log2(seen[whole[at]] / (sum(seen.values()) + len(seen)))
+                break
+            total -= math.log2(len(seen) / (sum(seen.values()) + len(seen)))
+            excluded |= set(seen)
+        else:
+            total += math.log2(256 - len(excluded))
+    return total
+
+
+def test_code_lengths_equal_brute_force(spark):
+    trained = {"en": "the cat sat on the mat and the rat sat on the cat", "de": "die katze sitzt auf der matte und der hund bellt"}
+    model = langid.train(spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(trained.items())], "doc_id long, text string, lang string"))
+    batch = ["the mat sat", "der hund sitzt", "", "é 日 zzz", "the cat the cat the cat"]
+    got = model.lengths([t.encode() for t in batch])
+    for t, row in zip(batch, got):
+        assert row.tolist() == pytest.approx([brute_bits(trained[x].encode(), t.encode()) for x in model.langs])
+
+
+def test_only_texts_in_a_language_are_clear(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    model, rnd = langid.train(docs.where(~langid.held_out())), random.Random(1)
+    junk = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz   ", k=3000)), "".join(rnd.choices("0123456789#$%&*x", k=3000)),
+            "Это обычный русский текст, какого модель не видела. " * 5, "これは日本語の文章です。" * 5]
+    schema = "doc_id long, text string"
+    assert langid.clear(spark.createDataFrame(list(enumerate(junk)), schema), model).count() == 0
+    assert langid.predict(spark.createDataFrame(list(enumerate(junk)), schema), model).where("score > 0.01").count() == 0
+    lost = docs.where("lang is not null").count() - langid.clear(docs.where("lang is not null"), model).count()
+    assert lost <= 0.002 * docs.count()
+
+
+def test_a_language_of_few_long_texts_is_learned(spark):
+    """Blocks are drawn, so a language in a few long texts is in the sample, in its share."""
+    long_ = lambda word, n: (word + " ") * n
+    rows = [(i, long_("alpha beta", 20), "a") for i in range(200)] + [(1000 + i, long_("gamma delta", 60_000), "b") for i in range(2)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 40_000)
+    got = langid.predict(spark.createDataFrame([(0, "gamma delta gamma"), (1, "beta alpha beta")], "doc_id long, text string"), model)
+    assert {r.doc_id: r.lang_pred for r in got.collect()} == {0: "b", 1: "a"}
+
+
 def test_costs_are_a_code():
     """The bytes after any context have probabilities that add up to one."""
     text = b"the cat sat on the mat; the rat sat"

@@ -57,15 +57,15 @@ def ready(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Batches cut so that ``column`` holds about ``SLICE_BYTES`` in each (one long value may hold more)."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that ``column`` holds about ``most`` bytes in each (one long value may hold more)."""
     for batch in batches:
         values = batch.column(batch.schema.get_field_index(column))
         size = np.asarray(pc.fill_null(pc.binary_length(values), 0)).astype(np.int64)
         total, start = np.cumsum(size), 0
         while start < batch.num_rows:
             before = total[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(total, before + SLICE_BYTES, "right")))
+            stop = max(start + 1, int(np.searchsorted(total, before + most, "right")))
             yield batch.slice(start, stop - start)
             start = stop
 

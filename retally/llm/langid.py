@@ -26,11 +26,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from retally.llm.common import HashTable, mixed, ready, slices, texts
+from retally.llm.common import HashTable, ready, slices, texts
 
 ORDER = 3
 SAMPLE_BYTES = 4_000_000
 BLOCK = 2000
+#: Text a task works on at once; only memory depends on it.
+SLICE_BYTES = 1_000_000
 PLAIN = 8
 UNKNOWN = "und"
 #: A document whose best language is less likely than this has no clear one.
@@ -135,17 +137,12 @@ def _shorter(key: np.ndarray) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, most=SLICE_BYTES):
         found: dict[str, list[np.ndarray]] = {}
         column = lambda c: batch.column(batch.schema.get_field_index(c)).to_pylist()
-        for lang, key, rate, text in zip(column("lang"), column("key"), column("rate"), texts(batch)):
-            number = np.arange(-(-len(text) // BLOCK), dtype=np.uint64)
-            with np.errstate(over="ignore"):
-                drawn = mixed(np.uint64(key % 2**64) + number * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)
-            drawn = np.flatnonzero(drawn < rate * 2.0**53)
-            if len(drawn):
-                text = folded(text)
-            for at in (drawn * BLOCK).tolist():
+        for lang, blocks, text in zip(column("lang"), column("blocks"), texts(batch)):
+            text = folded(text)
+            for at in (i * BLOCK for i in blocks):
                 before = _START if at == 0 else text[max(0, at - ORDER):at].rjust(ORDER, b"\n")
                 found.setdefault(lang, []).extend(grams(text[at:at + BLOCK], n, before) for n in range(1, ORDER + 2))
         for lang, parts in found.items():
@@ -165,7 +162,9 @@ def train(labelled: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> Model:
         return Model([], np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0))
     share = {r["lang"]: min(1.0, sample_bytes / len(langs) / max(1, r["bytes"])) for r in sizes}
     rate = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
-    drawn = labelled.select("text", "lang", F.xxhash64("doc_id", F.lit("sample")).alias("key"), rate.alias("rate"))
+    blocks = F.filter(F.sequence(F.lit(0), F.floor((F.octet_length("text") - 1) / BLOCK).cast("int")),
+                      lambda i: F.pmod(F.xxhash64(F.col("doc_id"), i), F.lit(1 << 30)) < rate * (1 << 30))
+    drawn = labelled.where("octet_length(text) > 0").select("text", "lang", blocks.alias("blocks")).where("size(blocks) > 0")
     table = drawn.mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")).toArrow()
     number = {lang: i for i, lang in enumerate(langs)}
@@ -203,7 +202,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = data.value
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE_BYTES):
             lang, score = _judged(batch, model)
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")),
                                               pa.array(lang, pa.string()), pa.array(score)], schema=schema)
@@ -218,7 +217,7 @@ def clear(docs: DataFrame, model: Model) -> DataFrame:
     data = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE_BYTES):
             lang, score = _judged(batch, data.value)
             yield batch.filter(pa.array([x != UNKNOWN and p >= CLEAR for x, p in zip(lang, score)], pa.bool_()))
 

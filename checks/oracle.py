@@ -452,6 +452,14 @@ def build() -> dict[str, str]:
         "stream_corrupt_events": with_(
             "SELECT event_id, CASE WHEN k % 7 = 0 THEN NULL ELSE user_id END AS user_id, k % 7 = 0 AS corrupt FROM e",
             e="SELECT event_id, user_id, {K} AS k FROM events"),
+        "stream_online_of_two": with_(
+            "SELECT * EXCLUDE (place, pos) FROM o WHERE user_id IS NOT NULL AND create_time IS NOT NULL"
+            " QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, create_time ORDER BY place DESC, pos DESC) = 1",
+            online_event=R["online_event"],
+            e="SELECT *, CAST(substr(token, 2) AS BIGINT) AS id, CAST(split_part(ip, '.', 4) AS INT) AS n FROM online_event",
+            records="SELECT * REPLACE ('again-' || token AS token), id * 10 + CASE WHEN n % 5 < 2 THEN 3 ELSE -3 END AS place"
+                 " FROM e WHERE n % 3 <> 1 UNION ALL SELECT *, id * 10 AS place FROM e WHERE n % 3 <> 0",
+            o=online("records").replace(" FROM", ", place, id AS pos FROM")),
         "stream_window_1h": with_(
             "SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL '1' HOUR AS window_end,"
             " COUNT(*) AS rows_in_window FROM p, m WHERE NOT late OR date_trunc('hour', ts) + INTERVAL '1' HOUR > mark"

@@ -266,6 +266,29 @@ def _corrupt(spark: SparkSession, folder: str) -> DataFrame:
         broken.read().select("event_id", F.lit(None).cast("bigint").alias("user_id"), F.lit(True).alias("corrupt")))
 
 
+def _online_of_two(spark: SparkSession, folder: str) -> DataFrame:
+    """Online status from two topics into one table; most events are in both, either may have the later record or arrive first."""
+    home = new_home(spark)
+    rows = D.rows(spark, folder, "online_event").withColumns({
+        "event_id": F.regexp_extract("token", r"t(\d+)", 1).cast("bigint"), "k": F.regexp_extract("ip", r"(\d+)$", 1).cast("int")})
+    kinds = {"online": ("k % 3 <> 0", "token", "event_id * 10", "pmod(k, 4)"),
+             "online_again": ("k % 3 <> 1", "'again-' || token", "event_id * 10 + CASE WHEN k % 5 < 2 THEN 3 ELSE -3 END",
+                              "pmod(k + 1, 4)")}
+    topic: dict[str, DataFrame] = {}
+    for name, (here, token, at, file) in kinds.items():
+        mine = rows.where(here).withColumns({"token": F.expr(token), "ts_ms": F.expr(at), "pos": F.col("event_id"),
+                                             "file": F.expr(file)}).drop("event_id", "k")
+        lines = E.encode_events(mine, "token", also=["ts_ms", "pos", "file"])
+        path = in_files(lines, f"{home}/{name}", kind="parquet")
+        shape = lines.drop("file").schema
+        topic[name] = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(path)
+    clean = lambda records: P.clean_online_status(E.decode_events(records, S.ONLINE_EVENT, also=C.ORDER))
+    shape = P.clean_online_status(E.decode_events(spark.createDataFrame([], "value STRING"), S.ONLINE_EVENT)).schema
+    table = KeyedTable(spark, f"{home}/table", shape, S.ONLINE_EVENT.key)
+    finish(topics.fan_in(topic), pipeline.latest_batch(table, clean, compact_every=COMPACT_EVERY), f"{home}/checkpoint", "append")
+    return table.current()
+
+
 LATENESS = "10 minutes"
 
 
@@ -297,5 +320,5 @@ def build() -> dict[str, Query]:
         "stream_running_total": _running, "stream_mirror": _mirror, "stream_snapshot_mirror": _snapshot_mirror,
         "stream_withdraw_finance": _finance, "dwd_game_changes": _clean_game_changes,
         "stream_player_day_of_text": _player_day_of_text, "stream_sharded_game": _sharded,
-        "stream_corrupt_events": _corrupt, "stream_window_1h": _windows,
+        "stream_corrupt_events": _corrupt, "stream_window_1h": _windows, "stream_online_of_two": _online_of_two,
     }

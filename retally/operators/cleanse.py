@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from retally import schemas as S
 from retally.functions import scalars as X
+from retally.operators.changelog import ORDER
 
 CHANGE_COLUMNS = ("row_kind", "_sign", "_order")
 
@@ -142,7 +143,7 @@ def clean_rewards(events: DataFrame) -> DataFrame:
 
 
 def clean_online_status(*topics: DataFrame) -> DataFrame:
-    """Online events of any number of topics as rows keyed by (user_id, create_time)."""
+    """Online events of any number of topics as rows keyed by (user_id, create_time); a record's place stays beside them."""
     events = topics[0]
     for more in topics[1:]:
         events = events.unionByName(more)
@@ -151,7 +152,7 @@ def clean_online_status(*topics: DataFrame) -> DataFrame:
         F.coalesce(data["session_id"], F.lit("N/A")).alias("session_id"), data["user_id"].alias("user_id"),
         data["token"].alias("token"), X.iso_timestamp(data["online_time"]).alias("online_time"),
         data["ip"].alias("ip"), data["device_id"].alias("device_id"),
-        X.iso_timestamp(data["create_time"]).alias("create_time"))
+        X.iso_timestamp(data["create_time"]).alias("create_time"), *[c for c in ORDER if c in events.columns])
 
 
 # --- detail copies -----------------------------------------------------------

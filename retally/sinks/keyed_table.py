@@ -27,23 +27,41 @@ class KeyedTable:
     (ts_ms, pos) are applied in that order, whatever batch they arrive in;
     ``keep_deleted`` then remembers deletes, so that a late older change cannot
     bring a row back.  Other changes are applied batch by batch.
+
+    ``late`` bounds how long: changes (which then need a place) further behind the latest ``ts_ms`` of the batches
+    before are left out, those without a ``ts_ms`` too, and a compaction forgets deletes that are further behind, as no
+    change that is still taken could be older than them.
     """
 
     def __init__(self, spark: SparkSession, path: str, row: T.StructType, key: Sequence[str],
-                 cluster: Sequence[str] = (), keep_deleted: bool = False):
-        self.row, self.key, self.cluster, self.keep_deleted = row, list(key), list(cluster), keep_deleted
+                 cluster: Sequence[str] = (), keep_deleted: bool = False, late: int | None = None):
+        self.row, self.key, self.cluster = row, list(key), list(cluster)
+        self.keep_deleted, self.late = keep_deleted or late is not None, late
         lead = T.StructType([T.StructField(f"_p_{p}", row[p].dataType) for p in cluster])
         schema = T.StructType(lead.fields + [T.StructField("before", row), T.StructField("after", row),
                                              T.StructField("op", T.StringType()), T.StructField("at", _PLACE)])
         self.log = BatchLog(spark, path, schema, [f"_p_{p}" for p in cluster])
+        self.marks = BatchLog(spark, f"{path}/marks", T.StructType.fromDDL("ts_ms BIGINT"))
 
     def write(self, batch: int, changes: DataFrame) -> None:
         """Changes of distinct keys; collapse a batch with ``last_changes`` first if need be."""
         lead = [F.coalesce(F.col(f"after.{p}"), F.col(f"before.{p}")).alias(f"_p_{p}") for p in self.cluster]
         to_row = lambda c: F.col(c).cast(self.row).alias(c)
         placed = {"ts_ms", "pos"} <= set(changes.columns)
+        if self.late is not None:
+            if not placed:
+                raise ValueError("changes of a table with a bound on lateness need ts_ms and pos")
+            mark = self._mark(batch)
+            changes = changes.where(F.col("ts_ms").isNotNull() if mark is None else F.col("ts_ms") >= mark)
         at = F.struct("ts_ms", "pos") if placed else F.struct(F.lit(batch).alias("ts_ms"), F.lit(0).alias("pos"))
         self.log.write(batch, changes.select(*lead, to_row("before"), to_row("after"), "op", at.cast(_PLACE).alias("at")))
+        if self.late is not None:
+            self.marks.write(batch, self.log.one(batch).agg(F.max("at.ts_ms").alias("ts_ms")))
+
+    def _mark(self, before: int) -> int | None:
+        """The earliest time that is still taken, from the batches before one."""
+        latest = self.marks.read(before).agg(F.max("ts_ms")).first()[0]
+        return None if latest is None else latest - self.late
 
     def changes(self, batch: int) -> DataFrame:
         return self.log.one(batch).select("before", "after", "op")
@@ -72,9 +90,13 @@ class KeyedTable:
                 F.max_by("after", _order()).alias("after"), F.max_by("before", _order()).alias("before"), F.max("at").alias("at"))
             gone = F.col("after").isNull()
             last = last if self.keep_deleted else last.where(~gone)
+            last = last if mark is None else last.where(~gone | (F.col("at.ts_ms") >= mark))
             return last.select(*lead, F.when(gone, F.col("before")).alias("before"), "after",
                                F.when(gone, "d").otherwise("c").alias("op"), "at")
 
+        mark = self._mark(upto + 1) if self.late is not None else None
+        if self.late is not None:
+            self.marks.compact(upto, lambda marks: marks.agg(F.max("ts_ms").alias("ts_ms")), every)
         cut = [F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")) for k in self.key]
         return self.log.compact(upto, fold, every, cut)
 

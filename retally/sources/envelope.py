@@ -103,10 +103,10 @@ def encode_changes(changes: DataFrame, table: Table, replace_updates: bool = Tru
                                  {"timestampNTZFormat": _STAMP}).alias("value"), *also)
 
 
-def encode_events(rows: DataFrame, key: str | Column, kind: str = "insert") -> DataFrame:
-    """Rows -> event text column ``value`` with the row as ``jsonData``."""
+def encode_events(rows: DataFrame, key: str | Column, kind: str = "insert", also: Sequence[str] = ()) -> DataFrame:
+    """Rows -> event text column ``value`` with the row as ``jsonData``; columns named in ``also`` stay beside it instead."""
     key = F.col(key) if isinstance(key, str) else key
     return rows.select(F.to_json(
         F.struct(key.cast("string").alias("key"), F.lit(kind).alias("dataSyncType"),
-                 F.struct(*rows.columns).alias("jsonData")),
-        {"timestampNTZFormat": _STAMP}).alias("value"))
+                 F.struct(*[c for c in rows.columns if c not in also]).alias("jsonData")),
+        {"timestampNTZFormat": _STAMP}).alias("value"), *also)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retally.schemas import Table
 
+TOPIC = "topic"
 SHARD = "_shard"
 
 
@@ -35,7 +39,18 @@ def kafka_lines(spark: SparkSession, servers: str, topics: str, start: str = "ea
               .option("subscribe", topics).option("startingOffsets", start))
     if records_per_batch:
         reader = reader.option("maxOffsetsPerTrigger", records_per_batch)
-    return reader.load().select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset")
+    return reader.load().select(F.col("value").cast("string").alias("value"), TOPIC, "partition", "offset",
+                                F.unix_millis("timestamp").alias("ts_ms"), F.col("offset").alias("pos"))
+
+
+def fan_in(streams: Mapping[str, DataFrame]) -> DataFrame:
+    """Streams of several topics as one, with the topic each record came from.
+
+    Each has the columns ``value`` and the record's place, ``ts_ms`` and ``pos``, which orders records across the topics.
+    A micro-batch takes from all of them, so one checkpoint holds the offsets of all.
+    """
+    frames = [s.select("value", "ts_ms", "pos", F.lit(name).alias(TOPIC)) for name, s in streams.items()]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def sharded(spark: SparkSession, table: Table, folder: str, pattern: str, format: str = "parquet") -> DataFrame:

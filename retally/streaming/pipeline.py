@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from retally.operators.changelog import as_changes, changed_keys, last_changes, signed_rows, snapshot
+from retally.operators.changelog import ORDER, as_changes, changed_keys, last_changes, signed_rows, snapshot
 from retally.operators.cleanse import masked
+from retally.operators.conform import conform, enforce_not_null
 from retally.plans.dimensions import SECRETS
 from retally.schemas import Table
 from retally.sinks.keyed_table import KeyedTable
@@ -114,6 +115,24 @@ def split_batch(good: Callable[[DataFrame, int], None], broken: Callable[[DataFr
     return each_batch
 
 
+def latest_batch(target: KeyedTable, rows: Clean, on_null: str = "drop", compact_every: int = 50) -> Callable[[DataFrame, int], None]:
+    """Keep a keyed table of the latest row per key, from records of one or more topics.
+
+    ``rows`` makes rows of the target from the records and leaves their place (ts_ms, pos) beside them: the latest place
+    wins, whichever topic or batch brings it.  Rows are cast to the target's types, where a value that does not fit
+    fails the batch; a null in the key is dropped or fails it, too (``on_null``).
+    """
+    def each_batch(records: DataFrame, batch: int) -> None:
+        fit = T.StructType([*target.row, *[T.StructField(c, T.LongType()) for c in ORDER]])
+        placed = enforce_not_null(conform(rows(records), fit), target.key, on_null)
+        changes = placed.select(F.lit(None).cast(target.row).alias("before"),
+                                F.struct(*target.row.names).cast(target.row).alias("after"), F.lit("u").alias("op"), *ORDER)
+        target.write(batch, _last_image(changes, target))
+        target.compact(batch, compact_every)
+
+    return each_batch
+
+
 def upsert_batch(target: KeyedTable, each: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
     """Write the rows of an update-mode aggregate (columns of the target and ``op``) to a keyed table."""
     def each_batch(rows: DataFrame, batch: int) -> None:

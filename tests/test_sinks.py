@@ -68,6 +68,32 @@ def test_late_change_does_not_win_nor_bring_a_row_back(spark, tmp_path):
     assert [tuple(r) for r in table.current().collect()] == [("a", 2)]
 
 
+def test_deletes_are_forgotten_when_no_older_change_can_come(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ROW, ["k"], late=10)
+    frame = lambda *c: spark.createDataFrame(list(c), PLACED)
+    put = lambda k, n, at: (None, (k, n), "u", at, 0)
+    drop = lambda k, at: ((k, None), None, "d", at, 0)
+    stored = lambda: sorted((r.k, r.n) for r in table.current().collect())
+    table.write(0, frame(put("a", 1, 100), put("b", 1, 100), put("c", 1, 100), drop("x", 90)))
+    table.write(1, frame(drop("a", 104), drop("b", 120)))
+    assert table.compact(1, every=2)
+    # the watermark stands at 110: the deletes of a and x cannot be undone any more, that of b can
+    assert table.log.read().where("op = 'd'").selectExpr("before.k").collect() == [("b",)]
+    table.write(2, frame(put("a", 2, 103), put("b", 2, 115), put("x", 2, 89), put("d", 5, 111), put("c", 7, 109)))
+    assert stored() == [("c", 1), ("d", 5)]
+    again = table.log.one(2).count()
+    table.write(2, frame(put("a", 2, 103), put("b", 2, 115), put("x", 2, 89), put("d", 5, 111), put("c", 7, 109)))
+    assert table.log.one(2).count() == again == 2 and stored() == [("c", 1), ("d", 5)]
+    table.write(3, frame(put("e", 1, 200)))
+    assert table.compact(3, every=2)
+    assert table.log.read().where("op = 'd'").count() == 0 and stored() == [("c", 1), ("d", 5), ("e", 1)]
+    table.write(4, frame(put("b", 3, 119)))                  # older than the forgotten delete: behind the bound, too
+    table.write(5, frame(put("a", 9, 195), (None, ("b", 1), "u", None, 0)))
+    assert stored() == [("a", 9), ("c", 1), ("d", 5), ("e", 1)]
+    with pytest.raises(ValueError, match="ts_ms"):
+        table.write(6, spark.createDataFrame([(None, ("a", 1), "c")], CHANGE))
+
+
 def test_null_keys_at_a_target(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), ROW, ["k"])
     changes = spark.createDataFrame([(None, (None, 1), "c"), (None, ("a", 1), "c")], CHANGE)

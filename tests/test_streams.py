@@ -9,6 +9,7 @@ from retally import schemas as S
 from retally.operators import changelog as C
 from retally.operators.aggregate import Aggregate, by, summarise
 from retally.functions.measures import earliest, heads, latest, tally, total
+from retally.sinks.keyed_table import KeyedTable
 from retally.sources import envelope as E
 from retally.sources import topics
 from retally.streaming import native, pipeline
@@ -83,7 +84,6 @@ def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
 
 
 def test_sums_as_one_streaming_aggregation(spark, tmp_path):
-    from retally.sinks.keyed_table import KeyedTable
 
     sums = Aggregate("sums", by("g"), (total("n", "n"), tally("many", "user > 2")), factors=("user",))
     folder = str(tmp_path / "signed")
@@ -100,7 +100,6 @@ def test_sums_as_one_streaming_aggregation(spark, tmp_path):
 
 
 def test_distinct_values_in_keyed_state(spark, tmp_path):
-    from retally.sinks.keyed_table import KeyedTable
 
     folder = str(tmp_path / "signed")
     C.signed_rows(story(spark)).drop("_order").repartition(2).write.parquet(folder)
@@ -167,3 +166,26 @@ def test_watermark_and_windows(spark, tmp_path):
              .option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start())
     assert query.awaitTermination(60)
     assert sorted(seen) == list(range(16))
+
+
+def test_the_latest_place_of_two_topics_wins(spark, tmp_path):
+    row = T.StructType.fromDDL("k STRING, n DECIMAL(20,4)")
+    target = KeyedTable(spark, str(tmp_path / "table"), row, ["k"])
+    files = {"a": [[("x 1", 10, 0), ("y 1", 10, 1)], [("x 2", 12, 0), (" 9", 99, 0)]],
+             "b": [[("x 3", 30, 0), ("y 4", 10, 2)], [("y 5", 9, 7), ("z 6", 1, 0)]]}
+    streams = {}
+    for name, batches in files.items():
+        for records in batches:
+            spark.createDataFrame(records, "value STRING, ts_ms BIGINT, pos BIGINT").coalesce(1).write.mode("append").parquet(
+                f"{tmp_path}/{name}")
+        streams[name] = spark.readStream.schema("value STRING, ts_ms BIGINT, pos BIGINT").option(
+            "maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}")
+    seen = []
+    rows = lambda lines: lines.selectExpr("nullif(split(value, ' ')[0], '') AS k", "CAST(split(value, ' ')[1] AS INT) AS n", "ts_ms", "pos")
+    each = pipeline.latest_batch(target, rows, compact_every=2)
+    pipeline.run(topics.fan_in(streams), lambda lines, batch: (seen.extend(r.topic for r in lines.collect()), each(lines, batch)),
+                 str(tmp_path / "checkpoint")).awaitTermination()
+    assert sorted((r.k, int(r.n)) for r in target.current().collect()) == [("x", 3), ("y", 4), ("z", 6)]
+    assert sorted(seen) == ["a"] * 4 + ["b"] * 4
+    with pytest.raises(Exception, match="not-null"):
+        pipeline.latest_batch(target, rows, "fail")(spark.createDataFrame([(" 9", 1, 1)], "value STRING, ts_ms BIGINT, pos BIGINT"), 7)

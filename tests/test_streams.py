@@ -189,3 +189,22 @@ def test_the_latest_place_of_two_topics_wins(spark, tmp_path):
     assert sorted(seen) == ["a"] * 4 + ["b"] * 4
     with pytest.raises(Exception, match="not-null"):
         pipeline.latest_batch(target, rows, "fail")(spark.createDataFrame([(" 9", 1, 1)], "value STRING, ts_ms BIGINT, pos BIGINT"), 7)
+
+
+def test_steps_have_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    """A step is read by as many tasks as wrote it, is one micro-batch, and its text is compressed."""
+    from checks import streams
+    from retally.sources import derived
+
+    rows = spark.range(0, 4000, 1, 6).selectExpr("'line ' || id AS value", "CAST(id % 4 AS INT) AS file")
+    path, files = streams.in_files(rows, str(tmp_path / "lines"))
+    assert files == 6 and len(list((tmp_path / "lines").glob("file=*/*.gz"))) == 4 * 6
+    seen = []
+    lines = topics.file_lines(spark, path, files_per_batch=files)
+    streams.finish(lines, lambda df, batch: seen.append(sorted(int(r.value[5:]) for r in df.collect())), str(tmp_path / "ck"))
+    assert seen == [list(range(step, 4000, 4)) for step in range(4)]
+
+    monkeypatch.setattr(derived, "TASK_BYTES", 4096)
+    folder = "/root/testdata/sf0.001"
+    assert derived.story_tasks(spark, folder, "game_record") > 4
+    assert derived.story_changes(spark, folder, "game_record").rdd.getNumPartitions() == derived.story_tasks(spark, folder, "game_record")

@@ -24,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _events(spark: SparkSession, folder: str, name: str, table: S.Table, key: str) -> DataFrame:
     """Application events: written to text and parsed back, as they arrive on a topic."""
-    return E.decode_events(E.encode_events(D.rows(spark, folder, name), key), table)
+    return E.decode_events(E.encode_events(D.spread(D.rows(spark, folder, name), key), key), table)
 
 
 def _signed(spark: SparkSession, folder: str, story: str, columns: list[str] | None = None) -> DataFrame:

@@ -264,7 +264,7 @@ def _sharded(spark: SparkSession, folder: str) -> DataFrame:
 
 def broken_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Event text cut short now and then, with the number of the event."""
-    rows = D.spread(D.rows(spark, folder, "online_event"))
+    rows = D.spread(D.rows(spark, folder, "online_event"), "token")
     text = E.encode_events(rows, F.regexp_extract("token", r"t(\d+)", 1))
     number = F.regexp_extract("value", r'^\{"key":"(\d+)"', 1).cast("bigint")
     ip = F.regexp_extract("value", r'"ip":"10\.0\.0\.(\d+)"', 1).cast("int")
@@ -291,7 +291,7 @@ def _corrupt(spark: SparkSession, folder: str) -> DataFrame:
 def _online_of_two(spark: SparkSession, folder: str) -> DataFrame:
     """Online status from two topics into one table; most events are in both, either may have the later record or arrive first."""
     home = new_home(spark)
-    rows = D.spread(D.rows(spark, folder, "online_event")).withColumns({
+    rows = D.spread(D.rows(spark, folder, "online_event"), "token").withColumns({
         "event_id": F.regexp_extract("token", r"t(\d+)", 1).cast("bigint"), "k": F.regexp_extract("ip", r"(\d+)$", 1).cast("int")})
     kinds = {"online": ("k % 3 <> 0", "token", "event_id * 10", "pmod(k, 4)"),
              "online_again": ("k % 3 <> 1", "'again-' || token", "event_id * 10 + CASE WHEN k % 5 < 2 THEN 3 ELSE -3 END",
@@ -315,7 +315,7 @@ LATENESS = "10 minutes"
 def _windows(spark: SparkSession, folder: str) -> DataFrame:
     """Purchases per hour, closed windows only; a tenth of them arrives after everything else."""
     home = new_home(spark)
-    rows = D.spread(spark.read.parquet(f"{folder}/events.parquet")).where("event_type = 'purchase'").select(
+    rows = D.spread(spark.read.parquet(f"{folder}/events.parquet"), "event_id").where("event_type = 'purchase'").select(
         "ts", (F.get_json_object("props", "$.k").cast("int") % 10 == 3).alias("late"))
     first, last = rows.agg(F.unix_seconds(F.min("ts").cast("timestamp")), F.unix_seconds(F.max("ts").cast("timestamp"))).first()
     third = F.floor(3 * (F.unix_seconds(F.col("ts").cast("timestamp")) - F.lit(first)) / F.lit(max(1, last - first))).cast("int")

@@ -337,9 +337,9 @@ def tasks_for(rows: DataFrame) -> int:
     return max(1, -(-size // TASK_BYTES))
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows over as many tasks as keep each of them bounded, however few splits their files have."""
-    return rows.repartition(tasks_for(rows))
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by a key over as many tasks as keep each of them bounded, however few splits their files have."""
+    return rows.repartition(tasks_for(rows), key)
 
 
 def story_changes(spark: SparkSession, folder: str, name: str, tasks: int | None = None) -> DataFrame:

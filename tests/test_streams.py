@@ -208,3 +208,29 @@ def test_steps_have_files_of_bounded_size(spark, tmp_path, monkeypatch):
     folder = "/root/testdata/sf0.001"
     assert derived.story_tasks(spark, folder, "game_record") > 4
     assert derived.story_changes(spark, folder, "game_record").rdd.getNumPartitions() == derived.story_tasks(spark, folder, "game_record")
+
+
+def test_one_step_of_change_text_lies_there_at_a_time(spark, tmp_path):
+    from checks import streams
+
+    text = spark.range(40).selectExpr("CAST(id AS STRING) AS value", "CAST(id % 4 AS INT) AS file")
+    home, seen = str(tmp_path), []
+
+    def each(lines, batch):
+        there = [f.name for f in (tmp_path / "lines").iterdir() if f.name.startswith("batch=")]
+        seen.append((batch, there, sorted(int(r.value) for r in lines.collect())))
+
+    streams.run_steps(text, f"{home}/lines", streams.AS_IS, each, f"{home}/checkpoint")
+    assert seen == [(step, [f"batch={step}"], list(range(step, 40, 4))) for step in range(4)]
+    assert not [f for f in (tmp_path / "lines").rglob("*.gz")]
+
+
+def test_shuffle_files_of_a_stream_go_with_their_jobs(spark, tmp_path):
+    from checks import streams
+
+    text = spark.range(40).selectExpr("CAST(id AS STRING) AS value", "CAST(id % 4 AS INT) AS file")
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false")
+    freed = []
+    each = lambda lines, batch: freed.append(lines.sparkSession.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled"))
+    streams.run_steps(text, f"{tmp_path}/lines", streams.AS_IS, each, f"{tmp_path}/checkpoint")
+    assert freed == ["true"] * 4

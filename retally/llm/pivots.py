@@ -2,8 +2,8 @@
 
 ``PIVOTS`` rows of a bounded sample, far from each other, are the pivots of their vector length.  The table holds the distance of
 every row to every pivot.  By the triangle inequality a row x is at least max |d(q, p) - d(x, p)| from a query q, and
-since 2 q.x = |q|^2 + |x|^2 - d(q, x)^2 that lower bound of the distance is an upper bound of the score.  Rows are
-evaluated in the order of their bounds until no bound reaches the k-th score found: the result is exact.
+since 2 q.x = |q|^2 + |x|^2 - d(q, x)^2 that lower bound of the distance is an upper bound of the score.  Only rows with
+a bound that reaches the k-th score known of a query are evaluated, for several queries at once: the result is exact.
 
 Rows are laid out by nearest pivot.  A cell's least and largest distances to the pivots bound all its rows at once, so a query
 first goes to one block of its own cell, takes the k-th score there along, and then only to the cells that can still beat it.
@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from retally.llm.common import kept, ready, workspace
-from retally.llm.whole import ASKS, ROWS, best, exact, matrix, products, scaled, splits
+from retally.llm.whole import ASKS, ROWS, exact, matrix, scaled, splits, table_products
 
 PIVOTS, SAMPLE = 32, 2048
 #: Cells are broadcast up to this number (64 distances each), else joined by a shuffle.
 FEW_CELLS = 4096
-#: Candidates evaluated before the k-th score is looked at for the first time; doubled from then on.
-FIRST = 64
+#: Queries that are evaluated side by side; only memory depends on it.
+SIDE = 64
 
 _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
@@ -80,40 +80,44 @@ def bounds(q_far: np.ndarray, q_norm: np.ndarray, far: np.ndarray, norm: np.ndar
     return top + np.abs(top) * 1e-12 + 1
 
 
-def search(q: np.ndarray, bound: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, floor: float, doubles: bool):
-    """Ids and scores of the k best rows that reach ``floor``, evaluated in the order of their bounds."""
-    order = np.flatnonzero(bound >= floor)
-    order = order[np.argsort(-bound[order], kind="stable")]
-    top_ids, top, start, step = ids[:0], np.zeros(0, np.int64), 0, max(FIRST, k)
-    while start < len(order):
-        if len(top) == k and bound[order[start]] < top[-1]:
-            break
-        part = order[start:start + step]
-        score = np.concatenate([top, products(x[part], q, doubles)])
-        here = np.concatenate([top_ids, ids[part]])
-        keep = best(score, here, k)
-        top_ids, top = here[keep], score[keep]
-        start, step = start + step, 2 * step
-    enough = top >= floor
-    return top_ids[enough], top[enough]
+def search(q_ids: np.ndarray, q: np.ndarray, bound: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray, doubles: bool):
+    """Queries, ids and scores of the k best rows that reach ``floor``, for queries (lines of ``bound``) side by side.
+
+    Only rows with a bound that reaches some query's floor are evaluated, and only for queries that they can reach do they count.
+    """
+    reach = bound >= floor[:, None]
+    some = np.flatnonzero(reach.any(axis=0))
+    if not len(some):
+        return q_ids[:0], ids[:0], np.zeros(0, np.int64)
+    score, reach, ids = table_products(q, x[some], doubles), reach[:, some], ids[some]
+    reach &= score >= floor[:, None]
+    for i in np.flatnonzero(reach.sum(axis=1) > k):
+        at = np.flatnonzero(reach[i])
+        reach[i, at] = score[i, at] >= np.partition(score[i, at], len(at) - k)[len(at) - k]
+    line, at = np.nonzero(reach)
+    score = score[line, at].astype(np.int64)
+    # of equal scores at the k-th place the smaller ids stay
+    order = np.lexsort((ids[at], -score, line))
+    line, at, score = line[order], at[order], score[order]
+    place = np.arange(len(line)) - np.searchsorted(line, line)
+    return q_ids[line[place < k]], ids[at[place < k]], score[place < k]
 
 
 def _searched(k: int, doubles: bool):
     def run(key: tuple[pa.Scalar, ...], asks: pa.Table, rows: pa.Table) -> pa.Table:
         if not asks.num_rows or not rows.num_rows:
             return _FOUND.empty_table()
-        ids, x, norm = np.asarray(rows["vec_id"]), matrix(rows["v"]), np.asarray(rows["norm"])
-        q_ids, q, q_norm = np.asarray(asks["query_id"]), matrix(asks["v"]), np.asarray(asks["norm"])
+        kind = np.float64 if doubles else np.int64
+        ids, x, norm = np.asarray(rows["vec_id"]), matrix(rows["v"], kind), np.asarray(rows["norm"])
+        q_ids, q, q_norm = np.asarray(asks["query_id"]), matrix(asks["v"], kind), np.asarray(asks["norm"])
         far, q_far = matrix(rows["far"], np.float32), matrix(asks["far"], np.float32)
-        floor = np.array([-np.inf if f is None else f for f in asks["floor"].to_pylist()])
+        floor = np.array([np.finfo(np.float64).min if f is None else f for f in asks["floor"].to_pylist()])
         found = []
-        for start in range(0, len(q), 32):
-            part = slice(start, start + 32)
+        for start in range(0, len(q), SIDE):
+            part = slice(start, start + SIDE)
             bound = bounds(q_far[part], q_norm[part], far, norm)
             bound[q_ids[part, None] == ids] = -np.inf
-            for i, line in enumerate(bound, start):
-                line_ids, score = search(q[i], line, x, ids, k, max(floor[i], np.finfo(np.float64).min), doubles)
-                found.append((np.full(len(score), q_ids[i]), line_ids, score))
+            found.append(search(q_ids[part], q[part], bound, x, ids, k, floor[part], doubles))
         return pa.table([pa.array(np.concatenate(c)) for c in zip(*found)], schema=_FOUND)
 
     return run

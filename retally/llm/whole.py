@@ -45,6 +45,12 @@ def products(x: np.ndarray, q: np.ndarray, doubles: bool) -> np.ndarray:
     return (x.astype(np.float64) @ q.astype(np.float64)).astype(np.int64) if doubles else x @ q
 
 
+def table_products(q: np.ndarray, x: np.ndarray, doubles: bool) -> np.ndarray:
+    """Integer inner products of several vectors (lines) with rows (columns); in double precision where that is exact."""
+    kind = np.float64 if doubles else np.int64
+    return q.astype(kind, copy=False) @ x.astype(kind, copy=False).T
+
+
 def best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k highest scores, ties to the smaller id."""
     return np.lexsort((ids, -score))[:k]

@@ -192,3 +192,24 @@ def test_shares_are_exact_for_large_counts():
         assert int(stripes.share(count, total)) == 1 + 10 ** 9 * (count + 5) // total
     with pytest.raises(OverflowError):
         stripes.share(1, 10 ** 15)
+
+
+def test_pivot_search_evaluates_queries_side_by_side(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.integers(-3, 4, (700, 6))                       # few scores, so many ties at the last place
+    p = pivots.far_apart(x, 5)
+    far, norm = pivots.distances(x, p).astype(np.float32), (x ** 2).sum(axis=1).astype(np.float64)
+    ids, rank = rng.permutation(700), 20
+    floors = [None if i % 3 else float(np.sort(np.delete(x @ x[i], i))[-rank]) for i in range(200)]
+    table = lambda name, n: {name: ids[:n], "v": list(x[:n]), "norm": norm[:n], "far": list(far[:n])}
+    calls, one = [], pivots.table_products
+    monkeypatch.setattr(pivots, "table_products", lambda q, rows, doubles: calls.append(len(q)) or one(q, rows, doubles))
+    for doubles in (True, False):
+        calls.clear()
+        asks = pa.table({**table("query_id", 200), "floor": pa.array(floors, pa.float64())})
+        got = pivots._searched(rank, doubles)((), asks, pa.table(table("vec_id", 700))).to_pylist()
+        assert len(calls) <= -(-200 // pivots.SIDE) and sum(calls) == 200
+        for i in range(200):
+            score = x @ x[i]
+            want = sorted(((int(-score[j]), int(ids[j])) for j in range(700) if j != i))[:rank]
+            assert sorted((-r["score"], r["vec_id"]) for r in got if r["query_id"] == ids[i]) == want

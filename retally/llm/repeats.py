@@ -40,7 +40,8 @@ from retally.llm.run_index import LENGTH, earlier
 GRAM, LONG_GRAM = 20, 44
 CHUNK_BYTES = 2_000_000
 INDEX_BYTES = 500_000
-_BLOCK = 500_000
+#: Strings whose minimizers are taken at once: eight bytes each, a few times over, fit a core's cache.
+_BLOCK = 1 << 16
 
 
 def _least(h: np.ndarray, width: int) -> np.ndarray:

@@ -82,3 +82,17 @@ def test_crowded_short_periods(spark, monkeypatch):
     rows = [(i, f"{rnd.random()} " + "the " * rnd.randint(10, 60) + f"end {i % 7} " + "de" * rnd.randint(0, 80)) for i in range(60)]
     got = repeats.digests(repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
     assert used and {r.doc_id: tuple(r)[1:] for r in got} == brute_repeats(rows)
+
+
+def test_minimizers_need_little_memory():
+    import tracemalloc
+
+    from retally.llm import repeats
+
+    raw = np.random.default_rng(1).integers(97, 123, 1_000_000).astype(np.uint8)
+    owner = np.repeat(np.arange(100, dtype=np.int32), 10_000)
+    tracemalloc.start()
+    found = repeats.runs(raw, owner)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found[0]) > 50_000 and peak < 12_000_000

@@ -57,8 +57,16 @@ def _feed(story: str, flow: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _retract(story: str, clean: Callable[[DataFrame], DataFrame], agg: Aggregate,
-             columns: list[str] | None = None) -> Query:
-    return lambda s, f: summarise_signed(clean(_signed(s, f, story, columns)), agg)
+             columns: list[str] | None = None, small_groups: bool = False) -> Query:
+    """``small_groups``: no group is large, so the rows go straight to the tasks of their groups, as many as keep each bounded."""
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        signed = clean(_signed(spark, folder, story, columns))
+        if small_groups:
+            tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), D.story_tasks(spark, folder, story))
+            signed = signed.repartition(tasks, *[F.expr(e) for _, e in agg.keys])
+        return summarise_signed(signed, agg)
+
+    return query
 
 
 # --- change streams --------------------------------------------------------------
@@ -186,7 +194,7 @@ def build() -> dict[str, Query]:
         "changelog_signed": _changelog_signed, "changelog_filter": _changelog_filter,
         "changelog_replace": _changelog_replace, "changelog_split": _changelog_split,
         "latest_image": _latest_image, "latest_image_of_pairs": _latest_image_of_pairs, "latest_version": _latest_version,
-        "retract_user_game_day": _retract("game_record", P.clean_games, R.USER_GAME_DAY, P.GAME_COLUMNS),
+        "retract_user_game_day": _retract("game_record", P.clean_games, R.USER_GAME_DAY, P.GAME_COLUMNS, small_groups=True),
         "retract_channel_game": _retract("game_record", P.clean_games, R.CHANNEL_GAME_DAY, P.GAME_COLUMNS),
         "retract_user_adjust": _retract("amount_operation", P.clean_amount_operations, R.USER_ADJUST_DAY,
                                         P.AMOUNT_OPERATION_FEED),

@@ -221,3 +221,14 @@ def test_guarded_flow_is_empty_and_typed(spark):
     assert dict(off.dtypes)["bounty_total_settle_count"] == "decimal(20,4)"
     plan = off._jdf.queryExecution().optimizedPlan().toString()
     assert "LocalRelation <empty>" in plan
+
+
+def test_groups_of_a_larger_table_go_to_more_tasks(spark, small, monkeypatch):
+    from checks import queries
+    from retally.sources import derived
+
+    monkeypatch.setattr(derived, "TASK_BYTES", 2048)
+    tasks = derived.story_tasks(spark, small, "game_record")
+    plan = queries.build()["retract_user_game_day"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) and plan.count(", {}), REPARTITION_BY_NUM".format(tasks)) == 2
+    assert plan.count("Exchange ") == 2

@@ -125,6 +125,11 @@ def _unpacked(data: bytes, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def bucket_of(values: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of short minimizers.  These are least values and so mostly small: mixed, they fall evenly."""
+    return (mixed(values) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+
+
 def _send(width: int, buckets: int):
     """A chunk's minimizers, and those that two of its documents share, by bucket."""
     schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("all", pa.binary()), ("shared", pa.binary())])
@@ -137,8 +142,10 @@ def _send(width: int, buckets: int):
         values, doc = values[order], doc[order]
         new = np.append(True, (values[1:] != values[:-1]) | (doc[1:] != doc[:-1]))[:len(values)]
         values, times = np.unique(values[new], return_counts=True)
-        bucket = (values >> np.uint64(8 * width - 32)) * np.uint64(buckets) >> np.uint64(32)
-        numbers, first = np.unique(bucket, return_index=True)
+        bucket = bucket_of(values, buckets)
+        order = np.argsort(bucket, kind="stable")
+        values, times = values[order], times[order]
+        numbers, first = np.unique(bucket[order], return_index=True)
         parts = list(zip(np.split(values, first[1:]), np.split(times, first[1:]))) if len(numbers) else []
         return pa.table([pa.array(numbers.astype(np.int64)), pa.array([key[0].as_py()] * len(numbers), pa.int64()),
                          pa.array([_packed(v, width) for v, _ in parts], pa.binary()),
@@ -153,10 +160,11 @@ def _answer(width: int):
 
     def run(table: pa.Table) -> pa.Table:
         lists = [_unpacked(v, width) for v in table["all"].to_pylist()]
-        shared = [_unpacked(v, width) for v in table["shared"].to_pylist()]
         values, times = np.unique(np.concatenate(lists), return_counts=True)
-        wanted = np.union1d(values[times > 1], np.concatenate(shared))
-        hits = [v[np.isin(v, wanted, assume_unique=True)] for v in lists]
+        wanted = times > 1
+        for v in table["shared"].to_pylist():
+            wanted[np.searchsorted(values, _unpacked(v, width))] = True
+        hits = [v[wanted[np.searchsorted(values, v)]] for v in lists]
         return pa.table([table["chunk"], pa.array([_packed(h, width) for h in hits], pa.binary())], schema=schema)
 
     return run
@@ -175,12 +183,13 @@ def _cut(width: int):
         hits = np.concatenate([_unpacked(v, width) for v in answers["hits"].to_pylist()] or [np.empty(0, np.uint64)])
         here = np.flatnonzero(np.isin(_short(least, width), hits))
         here = here[np.argsort(ids[doc[here]], kind="stable")]
-        data, seen, rows = raw.tobytes(), {}, []
-        for i, d, s, e in zip(here.tolist(), ids[doc[here]].tolist(), start[here].tolist(), end[here].tolist()):
+        data, seen, segments = raw.tobytes(), {}, []
+        doc, start, end = doc[here], start[here], end[here]
+        of = ids[doc]
+        for d, s, e in zip(of.tolist(), start.tolist(), end.tolist()):
             segment = data[s:e]
-            known = seen.setdefault(segment, d)
-            rows.append((segment if known == d else None, int(least[i].view(np.int64)), d, s - int(first[doc[i]]), e - s))
-        columns = list(zip(*rows)) if rows else [()] * 5
+            segments.append(segment if seen.setdefault(segment, d) == d else None)
+        columns = segments, least[here].view(np.int64), of, start - first[doc], end - start
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, _OCCURRENCE)], schema=_OCCURRENCE)
 
     return run

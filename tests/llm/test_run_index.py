@@ -96,3 +96,27 @@ def test_minimizers_need_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(found[0]) > 50_000 and peak < 12_000_000
+
+
+def test_minimizers_fall_evenly_into_buckets():
+    import pyarrow as pa
+
+    from retally.llm import repeats
+
+    raw = np.random.default_rng(2).integers(97, 123, 400_000).astype(np.uint8).tobytes()
+    texts = pa.table([pa.array(range(100), pa.int64()), pa.array([raw[i:i + 4_000] for i in range(0, len(raw), 4_000)], pa.binary())],
+                     names=["doc_id", "text"])
+    sent = repeats._send(5, 16)((pa.scalar(0),), texts)
+    size = dict(zip(sent["bucket"].to_pylist(), map(len, sent["all"].to_pylist())))
+    # least values are mostly small: cut by range, the first bucket would hold five in six of them
+    assert sorted(size) == list(range(16)) and max(size.values()) < 1.3 * sum(size.values()) / 16
+    # every bucket answers with exactly the values that two chunks or two documents of one have
+    again = pa.table([pa.array([7, 8], pa.int64()), pa.array([raw[:4_000], raw[:4_000]], pa.binary())], names=["doc_id", "text"])
+    both = pa.concat_tables([sent, repeats._send(5, 16)((pa.scalar(1),), again)])
+    hits = {0: set(), 1: set()}
+    for bucket in range(16):
+        answer = repeats._answer(5)(both.filter(pa.array([b == bucket for b in both["bucket"].to_pylist()])))
+        for chunk, data in zip(answer["chunk"].to_pylist(), answer["hits"].to_pylist()):
+            hits[chunk].update(repeats._unpacked(data, 5).tolist())
+    least = repeats.runs(np.frombuffer(raw[:4_000], np.uint8), np.zeros(4_000, np.int32))[0]
+    assert hits[0] == hits[1] == set(repeats._short(least, 5).tolist())

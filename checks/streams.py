@@ -277,7 +277,7 @@ def _sharded(spark: SparkSession, folder: str) -> DataFrame:
     row = T.StructType([*S.GAME_RECORD.struct, T.StructField(topics.SHARD, T.StringType())])
     table = KeyedTable(spark, f"{home}/table", row, (topics.SHARD, *S.GAME_RECORD.key), keep_deleted=True)
     decode = lambda lines: topics.with_shard(E.decode_changes(lines, S.GAME_RECORD, also=[topics.SHARD]))
-    each = pipeline.mirror_batch(table, S.GAME_RECORD, compact_every=COMPACT_EVERY, decode=decode)
+    each = pipeline.mirror_batch(table, S.GAME_RECORD, compact_every=COMPACT_EVERY, decode=decode, tasks=tasks)
     for shards in ([(0, S.GAME_RECORD), (1, S.GAME_RECORD)], [(2, lacking)]):
         for n, columns in shards:
             appears(n, columns)

@@ -48,8 +48,11 @@ class BatchLog:
         self._stored = T.StructType(schema.fields + [T.StructField(BATCH, T.LongType())])
 
     def write(self, batch: int, df: DataFrame) -> None:
-        """The rows of one batch; a batch written before is replaced."""
-        near = df.hint("rebalance", *self.cluster) if self.cluster else df.hint("rebalance")
+        """The rows of one batch; a batch written before is replaced.
+
+        Rows without cluster columns are written by the tasks that make them, not dealt out anew.
+        """
+        near = df.hint("rebalance", *self.cluster) if self.cluster else df
         self._save(near, f"{self.path}/part/{BATCH}={batch}")
 
     def read(self, before: int | None = None) -> DataFrame:
@@ -62,6 +65,14 @@ class BatchLog:
             return self.spark.createDataFrame([], self._stored)
         return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
+    def size(self, before: int | None = None) -> int:
+        """Bytes of the files that ``read`` reads."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        base, parts = self._live(before)
+        folders = [f"{self.path}/base/{BATCH}={base}"] * (base is not None) + [f"{self.path}/part/{BATCH}={b}" for b in parts]
+        return sum(path(f).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path(f)).getLength()
+                   for f in folders)
+
     def done(self, batch: int) -> bool:
         """Whether a batch was written to its end."""
         return self._has(f"{self.path}/part/{BATCH}={batch}/_SUCCESS")

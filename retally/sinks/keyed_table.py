@@ -11,6 +11,8 @@ from retally.operators.conform import enforce_not_null
 from retally.sinks.batch_log import BatchLog
 
 
+#: Stored bytes behind one task that reads a table as a whole (zstd; some ten times as much when shuffled).
+TASK_BYTES = 4 << 20
 _PLACE = T.StructType([T.StructField("ts_ms", T.LongType()), T.StructField("pos", T.LongType())])
 
 
@@ -63,6 +65,13 @@ class KeyedTable:
         latest = self.marks.read(before).agg(F.max("ts_ms")).first()[0]
         return None if latest is None else latest - self.late
 
+    def _by_key(self, stored: DataFrame, before: int | None) -> DataFrame:
+        """Stored changes with their keys, dealt out over as many tasks as keep each bounded where a shuffle has fewer."""
+        keyed = changed_keys(stored, self.key)
+        tasks = -(-self.log.size(before) // TASK_BYTES)
+        few = tasks <= int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return keyed if few else keyed.repartition(tasks, *[f"_k_{k}" for k in self.key])
+
     def changes(self, batch: int) -> DataFrame:
         return self.log.one(batch).select("before", "after", "op")
 
@@ -78,7 +87,7 @@ class KeyedTable:
             stored = only_keys(changed_keys(stored, self.key), keys, {k: f"_k_{k}" for k in self.key})
             names = [f"_k_{k}" for k in self.key]
         else:
-            stored, names = changed_keys(stored, self.key), [f"_k_{k}" for k in self.key]
+            stored, names = self._by_key(stored, before), [f"_k_{k}" for k in self.key]
         last = F.max_by("after", _order())
         return stored.groupBy(*names).agg(last.alias("row")).where("row IS NOT NULL").select("row.*")
 
@@ -86,7 +95,7 @@ class KeyedTable:
         def fold(stored: DataFrame) -> DataFrame:
             names = [f"_k_{k}" for k in self.key]
             lead = [f"_p_{p}" for p in self.cluster]
-            last = changed_keys(stored, self.key).groupBy(*names, *lead).agg(
+            last = self._by_key(stored, upto + 1).groupBy(*names, *lead).agg(
                 F.max_by("after", _order()).alias("after"), F.max_by("before", _order()).alias("before"), F.max("at").alias("at"))
             gone = F.col("after").isNull()
             last = last if self.keep_deleted else last.where(~gone)

@@ -35,17 +35,20 @@ def flows_of(lines: DataFrame, flows: Mapping[str, tuple[Table, Clean]]) -> dict
 
 
 def mirror_batch(target: KeyedTable, table: Table, prepare: Clean = lambda df: masked(df, SECRETS),
-                 compact_every: int = 50, decode: Clean | None = None) -> Callable[[DataFrame, int], None]:
+                 compact_every: int = 50, decode: Clean | None = None, tasks: int = 0) -> Callable[[DataFrame, int], None]:
     """Keep a keyed table equal to its source: each batch is collapsed to the last image per key.
 
     ``prepare`` shapes the image before it is stored; by default passwords are left out.  Columns
     of the target that it leaves out are stored as null.  ``decode`` makes changes of the batch where it is not
-    plain change text of ``table``.  The target's key tells rows apart.
+    plain change text of ``table``.  The target's key tells rows apart.  A batch with more rows than a shuffle's usual
+    partitions hold is dealt out over ``tasks``.
     """
     decode = decode or (lambda lines: decode_changes(lines, table))
 
     def each_batch(lines: DataFrame, batch: int) -> None:
-        row = target.row
+        row, conf = target.row, lines.sparkSession.conf
+        if tasks > int(conf.get("spark.sql.shuffle.partitions")):
+            conf.set("spark.sql.shuffle.partitions", str(tasks))
         last = last_changes(decode(lines), target.key)
         none = F.lit(None).cast(row)
         stored = prepare(last.where("NOT gone").select("image.*", "at.*"))

@@ -124,3 +124,22 @@ def test_statements_and_staging_rows(spark):
         "DELETE t FROM `t` t JOIN `s` s ON t.`k` = s.`k` AND t.`d` = s.`d` WHERE s.`_gone` = 1")
     changes = spark.createDataFrame([(("a", 1), ("a", 2), "u"), (("b", 1), None, "d")], CHANGE)
     assert rows(jdbc.staged(changes, ["k"])) == [("a", 2, 0), ("b", 1, 1)]
+
+
+def test_a_keyed_table_is_read_by_as_many_tasks_as_its_size_needs(spark, tmp_path, monkeypatch):
+    from retally.sinks import keyed_table
+
+    monkeypatch.setattr(keyed_table, "TASK_BYTES", 2_000)
+    row = T.StructType.fromDDL("id BIGINT, v STRING")
+    table = KeyedTable(spark, str(tmp_path / "table"), row, ["id"])
+    images = lambda first, last, word: spark.range(first, last).selectExpr(
+        "CAST(NULL AS STRUCT<id: BIGINT, v: STRING>) AS before",
+        f"named_struct('id', id, 'v', sha2(concat('{word}', id), 256)) AS after", "'c' AS op")
+    table.write(0, images(0, 2000, "a"))
+    table.write(1, images(1000, 3000, "b"))
+    tasks = -(-table.log.size() // 2_000)
+    assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert table.current().rdd.getNumPartitions() == tasks
+    now = lambda: table.current().selectExpr("id", f"v = sha2(concat(IF(id < 1000, 'a', 'b'), id), 256) AS same").collect()
+    assert sorted(r.id for r in now()) == list(range(3000)) and all(r.same for r in now())
+    assert table.compact(1, 2) and sorted(r.id for r in now()) == list(range(3000)) and all(r.same for r in now())

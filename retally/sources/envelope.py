@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from retally.schemas import Table
 
 OPS = ("c", "r", "u", "d")
+#: Column for the table of an image, where changes of several are read at once.
+TABLE = "_table"
 _STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -78,6 +80,29 @@ def of_table(lines: DataFrame, name: str, column: str = "value") -> DataFrame:
     return lines.where(F.get_json_object(column, "$.source.table") == name)
 
 
+def decode_tables(lines: DataFrame, tables: Sequence[Table], column: str = "value") -> DataFrame:
+    """Change text that mixes tables -> (before, after, op, ts_ms, pos), each line parsed once, whatever its table.
+
+    An image has the columns of all ``tables``, those of other tables null, and the name of its own in ``TABLE``.
+    Lines of further tables and lines without a known op are left out.
+    """
+    types: dict[str, str] = {}
+    for table in tables:
+        for name, type in table.columns:
+            if types.setdefault(name, type) != type:
+                raise ValueError(f"tables disagree on the type of {name}")
+    merged = Table("_merged", (), ", ".join(f"{n} {t}" for n, t in types.items()))
+    e, name = F.col("e"), F.col("e.source.table")
+
+    def image(side: str) -> Column:
+        own = [F.when(name.isin(*[t.name for t in tables if c in t.names]), e[side][c]).alias(c) for c in types]
+        return F.when(e[side].isNotNull(), F.struct(*own, name.alias(TABLE))).alias(side)
+
+    known = F.col("e.op").isin(*OPS) & name.isin(*[t.name for t in tables])
+    return _parse(lines, column, change_schema(merged)).where(known).select(
+        image("before"), image("after"), "e.op", "e.ts_ms", F.col("e.source.pos").alias("pos"))
+
+
 def encode_changes(changes: DataFrame, table: Table, replace_updates: bool = True, also: Sequence[str] = ()) -> DataFrame:
     """(before, after, op, ...) -> one text column ``value``.
 

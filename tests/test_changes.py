@@ -139,6 +139,35 @@ def test_several_tables_in_one_stream(spark):
     assert E.of_table(lines, "o").count() == 1
 
 
+def test_tables_taken_apart_in_one_parse(spark):
+    other = S.Table("o", ("id",), "id BIGINT, x STRING")
+    of = lambda **how: json.dumps({"ts_ms": 1, **how})
+    lines = [line("c", None, image(1), 1), line("u", image(1), image(1, n="5"), 2), line("d", image(1), None, 3),
+             of(op="c", after={"id": 1, "x": "y", "g": "not its own"}, source={"table": "o", "pos": 4}),
+             of(op="u", before={"id": 1}, after={"id": 2}, source={"table": "o", "pos": 5}),
+             of(op="c", after={"id": 3}, source={"table": "further", "pos": 6}), of(op="c", after={"id": 4}),
+             of(op="?", after={"id": 5}, source={"table": "o", "pos": 7}), "{cut sh"]
+    text = spark.createDataFrame([(x,) for x in lines], "value STRING")
+    both = E.decode_tables(text, [T, other])
+    # the images of each table are those that a decode of its own lines gives
+    for table in (T, other):
+        own = C.signed_rows(E.decode_changes(E.of_table(text, table.name), table))
+        mixed = C.signed_rows(both).where(F.col(E.TABLE) == table.name).select(*own.columns)
+        assert sorted(map(str, mixed.collect())) == sorted(map(str, own.collect()))
+    assert C.signed_rows(both).count() == 7 and C.signed_rows(both).where("_table = 'o' AND g IS NOT NULL").count() == 0
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "get_json_object" not in plan
+    with pytest.raises(ValueError):
+        E.decode_tables(text, [T, S.Table("o", (), "id STRING")])
+
+
+def test_lines_of_several_tables_are_made_once(spark, small):
+    from checks import queries
+
+    plan = queries.build()["changelog_split"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructsToJsonEvaluator") == 2 and plan.count("from_json") == 1
+
+
 # --- scalars, conform ------------------------------------------------------------
 
 @pytest.mark.parametrize("zone", ["UTC", "Asia/Singapore"])

@@ -41,8 +41,9 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
         # only rows that are still tied are put in order; a rank is the first row of its tie
         who = order[at]
         then = np.where(who + step < n, rank[np.minimum(who + step, n - 1)] + 1, 0)
-        resorted = np.lexsort((then, rank[who]))
-        who, then, here = who[resorted], then[resorted], rank[who][resorted]
+        here = rank[who]
+        resorted = np.argsort(here * (n + 1) + then)
+        who, then, here = who[resorted], then[resorted], here[resorted]
         order[at] = who
         new = np.append(True, (here[1:] != here[:-1]) | (then[1:] != then[:-1]))[:len(at)]
         rank[who] = np.maximum.accumulate(np.where(new, at, 0))
@@ -74,15 +75,22 @@ class Collection:
 
     def common(self, p: np.ndarray, q: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Bytes that the texts at two places share, up to ``most``."""
-        out, go = np.zeros(len(p), np.int64), np.arange(len(p))
-        for at in range(0, LENGTH, _BYTES):
-            differ = self.words[p[go] + at] ^ self.words[q[go] + at]
-            lowest = (differ & (~differ + np.uint64(1))).astype(np.float64)
-            out[go] += np.where(differ == 0, _BYTES, (np.frexp(lowest)[1] - 1) // 8)
-            go = go[(differ == 0) & (out[go] < most[go])]
+        most = np.minimum(most, np.minimum(self.left[p], self.left[q]))
+        differ = self.words[p] ^ self.words[q]
+        out = self._alike(differ)
+        go = np.flatnonzero((differ == 0) & (most > _BYTES))
+        for at in range(_BYTES, LENGTH, _BYTES):
             if not len(go):
                 break
-        return np.minimum(np.minimum(out, most), np.minimum(self.left[p], self.left[q]))
+            differ = self.words[p[go] + at] ^ self.words[q[go] + at]
+            out[go] += self._alike(differ)
+            go = go[(differ == 0) & (most[go] > at + _BYTES)]
+        return np.minimum(out, most)
+
+    @staticmethod
+    def _alike(differ: np.ndarray) -> np.ndarray:
+        """Bytes below the lowest bit that is set; all of them where none is."""
+        return (np.bitwise_count(~differ & (differ - np.uint64(1))) >> 3).astype(np.int64)
 
 
 class RunLengthIndex:
@@ -102,8 +110,9 @@ class RunLengthIndex:
         start = np.flatnonzero(np.append(True, last[1:] != last[:-1]))
         stop = np.append(start[1:], len(order)) - 1
         self._start, self._stop, self._head = start, stop, last[start]
+        self._run = np.repeat(np.arange(len(start), dtype=np.int32), stop - start + 1)      # of each row
         # runs of one symbol lie together, in the order of their rows
-        self._by_head = np.argsort(self._head, kind="stable")
+        self._by_head = np.argsort(self._head.astype(np.min_scalar_type(int(self._head.max()))), kind="stable")
         self._key = self._head[self._by_head] * len(start) + self._by_head
         length = (stop - start + 1)[self._by_head]
         self._base = np.empty(len(start), np.int64)         # rows of smaller symbols and of earlier runs
@@ -153,7 +162,7 @@ class RunLengthIndex:
                 length[~known] = 0                          # no such byte: the match begins anew, from any row
             go = slice(None) if known.all() else np.flatnonzero(known)
             symbol, here, where, so_far = symbol[go], row[go], place[go], length[go]
-            run = np.searchsorted(self._start, here, "right") - 1
+            run = self._run[here].astype(np.int64)
             off = np.flatnonzero(self._head[run] != symbol)
             if len(off):
                 run[off], here[off], where[off], so_far[off] = self._jump(symbol[off], run[off], where[off], so_far[off])

@@ -125,12 +125,12 @@ def test_minimizers_fall_evenly_into_buckets():
 def test_run_of_a_row_and_shared_bytes_are_looked_up():
     rng = np.random.default_rng(3)
     texts = [bytes(rng.integers(97, 99, 120).astype(np.uint8)) for _ in range(20)] + [b"ab" * 60, b"ab" * 55]
-    joined = run_index.Collection(texts)
-    index = run_index.RunLengthIndex(joined, np.arange(len(texts)), np.zeros(len(texts), np.int64))
+    joined = Collection(texts)
+    index = RunLengthIndex(joined, np.arange(len(texts)), np.zeros(len(texts), np.int64))
     rows = np.arange(len(joined.order))
     assert (index._run == np.searchsorted(index._start, rows, "right") - 1).all()
     raw = b"".join(t + b"\0" for t in texts)
     p, q = rng.integers(0, len(raw), (2, 3000))
-    for a, b, n in zip(p, q, joined.common(p, q, np.full(len(p), run_index.LENGTH))):
-        most = min(run_index.LENGTH, joined.left[a], joined.left[b])
+    for a, b, n in zip(p, q, joined.common(p, q, np.full(len(p), LENGTH))):
+        most = min(LENGTH, joined.left[a], joined.left[b])
         assert n == next((i for i in range(most) if raw[a + i] != raw[b + i]), most)

@@ -219,8 +219,10 @@ class Story:
 
     def changes(self, source: DataFrame) -> DataFrame:
         """Changes (before, after, op, ts_ms, pos) of the rows of ``source``; row by row, so it runs on a stream."""
-        v = [F.expr(f"struct({dialect(p, SPARK)})").cast(self.table.struct) for p in self.versions]
         edited, again, removed = (F.expr(dialect(c, SPARK)) for c in (self.edited, self.edited_again, self.removed))
+        # a version is worked out only for the rows that come to it
+        v = [F.when(here, F.expr(f"struct({dialect(p, SPARK)})").cast(self.table.struct))
+             for here, p in zip((F.lit(True), edited, again), self.versions)]
         none = F.lit(None).cast(self.table.struct)
         mid = F.when(edited, F.col("v1")).otherwise(F.col("v0"))
         last = F.when(again, F.col("v2")).otherwise(mid)

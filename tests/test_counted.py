@@ -91,3 +91,27 @@ def test_reports_that_cannot_be_counted_are_refused(spark, tmp_path):
     over = Aggregate("over_heads", by("g"), (heads("days", "statistic_time"),), source="daily")
     with pytest.raises(ValueError):
         Counted(spark, str(tmp_path), [DAILY, over], spark.createDataFrame([], TABLE.struct))
+
+
+def test_touched_groups_are_finished_in_one_grouping(spark):
+    from retally.functions.measures import ratio
+    from retally.operators.aggregate import deltas, fold, restated, settle
+
+    plain = Aggregate("plain", by("g", "statistic_time"), (
+        total("n", "n"), total("large", "n", "n > 10"), tally("many", "TRUE"), ratio("share", "large", "n")))
+    factored = Aggregate("factored", by("g", "statistic_time"), (total("even", "n", "kind = 0"), tally("odd", "kind = 1")), factors=("kind",))
+    rows = C.signed_rows(story(spark)).withColumns({
+        "statistic_time": F.col("update_time").cast("date"), "kind": F.col("user") % 2,
+        "g": F.when(F.col("g") != "g3", F.format_string("g%d", F.col("id") % 30)), "n": F.when(F.col("id") % 7 != 0, F.col("n"))})
+    old, new = rows.where("_order.pos % 3 = 0 AND id < 50"), rows.where("_order.pos % 3 > 0 OR id >= 50")
+    for agg in (plain, factored):
+        stored, fresh = deltas(old, agg), deltas(new, agg)
+        changes = restated(stored, fresh, agg)
+        before, after = settle(fold(stored, agg), agg), settle(fold(stored.unionByName(fresh), agg), agg)
+        want = C.changes_between(before, after, agg.key_names)
+        assert {r.op for r in want.select("op").collect()} == {"c", "u", "d"}
+        text = lambda df: df.select(F.to_json("before").alias("b"), F.to_json("after").alias("a"), "op")
+        same(text(want), text(changes))
+        changes.collect()
+        plan = changes._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "SortAggregate" not in plan

@@ -115,3 +115,20 @@ def test_touched_groups_are_finished_in_one_grouping(spark):
         changes.collect()
         plan = changes._jdf.queryExecution().executedPlan().toString()
         assert "Join" not in plan and "SortAggregate" not in plan
+
+
+def test_state_of_the_registered_streams_is_not_a_map_in_the_heap(spark, tmp_path):
+    from checks import streams
+
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    text = spark.range(40).selectExpr("CAST(id AS STRING) AS value", "CAST(id % 4 AS INT) AS file")
+    seen = []
+    try:
+        spark.conf.unset(provider)
+        spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+        streams.run_steps(text, f"{tmp_path}/lines", lambda lines: lines.groupBy("value").count(),
+                          lambda rows, batch: seen.append(rows.count()), f"{tmp_path}/checkpoint")
+    finally:
+        spark.conf.set(provider, before)
+    assert seen == [10] * 4 and list((tmp_path / "checkpoint").rglob("*.changelog"))

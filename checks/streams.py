@@ -65,29 +65,35 @@ def in_files(frame: DataFrame, path: str, number: Column | None = None, kind: st
     return path, most
 
 
-def change_text(spark: SparkSession, folder: str, *stories: str) -> DataFrame:
-    """The change text of some tables (``value``) and the step of each line (``file``)."""
-    text = None
-    for story in stories:
-        changes = D.story_changes(spark, folder, story, D.story_tasks(spark, folder, story)).withColumn("file", F.expr(BY_STEP))
-        one = E.encode_changes(changes, D.STORIES[story].table, replace_updates=False, also=["file"])
-        text = one if text is None else text.unionByName(one)
-    return text
+def change_text(spark: SparkSession, folder: str, *stories: str) -> Callable[[int], DataFrame]:
+    """The change text of some tables (``value``), step by step: only the images of a step's changes are made."""
+    def of_step(step: int) -> DataFrame:
+        text = None
+        for story in stories:
+            changes = D.story_changes(spark, folder, story, tasks[story], f"{BY_STEP} = {step}")
+            one = E.encode_changes(changes, D.STORIES[story].table, replace_updates=False)
+            text = one if text is None else text.unionByName(one)
+        return text
 
+    tasks = {story: D.story_tasks(spark, folder, story) for story in stories}
+    return of_step
 
-def run_steps(text: DataFrame, path: str, flow: Flow, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Run the stream that ``flow`` makes of encoded lines, a micro-batch for each step (column ``file``).
+
+def run_steps(text: DataFrame | Callable[[int], DataFrame], path: str, flow: Flow, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Run the stream that ``flow`` makes of encoded lines, a micro-batch for each step (column ``file``, or a function of it).
 
     A step is written when its turn comes, appears as a whole, and is dropped once the stream is done with it, as a log
     drops what lies behind its readers; so one step lies there at a time.  Each task writes one file of a step, so a file is
     as large as the frame's tasks are.
     """
-    spark, query = text.sparkSession, None
+    lines_of = text if callable(text) else lambda step: text.where(F.col("file") == step)
+    lines, query = lines_of(0), None
+    spark = lines.sparkSession
     frees_shuffles(spark)
     keeps_state_on_disk(spark)
     try:
         for step in range(FILES):
-            topics.write_once(text.where(F.col("file") == step), path, step)
+            topics.write_once(lines if step == 0 else lines_of(step), path, step)
             if query is None:
                 writer = flow(topics.file_lines(spark, f"{path}/batch=*").select("value")).writeStream.outputMode("update")
                 query = writer.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(processingTime="1 second").start()

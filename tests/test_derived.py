@@ -1,5 +1,7 @@
 """Derived tables scale with their source: tasks of bounded size, items dealt out no more often than needed."""
 
+from pyspark.sql import functions as F
+
 from retally.sources import derived as D
 
 SMALL = "/root/testdata/sf0.001"
@@ -35,3 +37,16 @@ def test_change_text_is_dealt_anew_by_size(spark, monkeypatch):
     tasks = D.story_tasks(spark, SMALL, "game_record") + 1
     plan = queries.build()["latest_image_of_pairs"](spark, SMALL)._jdf.queryExecution().toString()
     assert tasks > 5 and f"RoundRobinPartitioning({tasks})" in plan
+
+
+def test_a_step_of_change_text_has_its_changes_alone(spark, small):
+    from checks import streams
+    from retally.sources import derived, envelope
+
+    for story in ("game_record", "withdraw_order"):
+        changes = derived.story_changes(spark, small, story).withColumn("file", F.expr(streams.BY_STEP))
+        text = envelope.encode_changes(changes, derived.STORIES[story].table, replace_updates=False, also=["file"])
+        of_step = streams.change_text(spark, small, story)
+        for step in range(streams.FILES):
+            want, got = text.where(F.col("file") == step).select("value"), of_step(step)
+            assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
